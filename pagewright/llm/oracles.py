@@ -39,8 +39,8 @@ FROM m
 """
 
 OP10 = r"""
-WITH u AS (SELECT page_id, coalesce(url, '') AS url, strpos(coalesce(url, ''), '://') AS at FROM pages),
-r AS (SELECT page_id, CASE WHEN at > 0 THEN substr(url, at + 3) ELSE '' END AS rest FROM u),
+WITH u AS (SELECT page_id, coalesce(url, '') AS url, strpos(coalesce(url, ''), '://') AS p0 FROM pages),
+r AS (SELECT page_id, CASE WHEN p0 > 0 THEN substr(url, p0 + 3) ELSE '' END AS rest FROM u),
 h AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
 x AS (SELECT *, CASE
