@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pagewright.llm import chat, quality, url_filter
+from pagewright.llm import chat, packing, quality, topk, url_filter
 from pagewright.llm.common import read
 
 #: The URL rules of the contract: verdict, host, path.
@@ -29,8 +29,20 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.with_rules(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as tokens
+
+    with open(tokens.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        spec = f.read()
+    return packing.pack(read(spark, sf_dir, "documents").select("doc_id", "text"), spec, tokens.PATTERN)
+
+
+def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op7_chat_format, op8_quality_rules, op10_url_filter)}
+    return {f.__name__: f for f in (op5_best_fit_packing, op6_topk_search, op7_chat_format, op8_quality_rules, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
