@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pagewright.llm import chat, packing, quality, topk, url_filter
+from pagewright.llm import bpe, chat, packing, quality, topk, url_filter
 from pagewright.llm.common import read
 
 #: The URL rules of the contract: verdict, host, path.
@@ -29,6 +29,20 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.with_rules(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as tokens
+
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    vocabulary = bpe.Vocabulary(bpe.load_ranks(tokens.path("byte_bpe_multi_50k.tiktoken")), tokens.PATTERN)
+    got = docs.select("doc_id", vocabulary.encode(F.col("text")).alias("ids"))
+    return got.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(vocabulary.as_bytes(F.col("ids")), 256).alias("ids_sha256"),
+        F.sha2(vocabulary.decode(F.col("ids")), 256).alias("decoded_sha256"),
+    )
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as tokens
 
@@ -42,7 +56,7 @@ def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op5_best_fit_packing, op6_topk_search, op7_chat_format, op8_quality_rules, op10_url_filter)}
+    return {f.__name__: f for f in (op1_byte_bpe, op5_best_fit_packing, op6_topk_search, op7_chat_format, op8_quality_rules, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
