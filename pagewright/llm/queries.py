@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pagewright.llm import bpe, chat, packing, quality, topk, url_filter
+from pagewright.llm import bpe, chat, hmm, langid, packing, quality, topk, url_filter
 from pagewright.llm.common import read
 
 #: The URL rules of the contract: verdict, host, path.
@@ -24,6 +24,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "n_stop_words")
 
 
+def op9_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score(read(spark, sf_dir, "documents").select("doc_id", "text"), langid.fold(F.col("doc_id"), 7) == 2)
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.with_rules(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
@@ -43,6 +47,17 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as tokens
+
+    docs = read(spark, sf_dir, "documents")
+    pieces = langid.load_pieces(tokens.path("piece_bpe_32k.model"))
+    train = docs.filter(langid.fold(F.col("doc_id"), 5) != 0).select("text", "lang")
+    held_out = F.coalesce(langid.fold(F.col("doc_id"), 5) == 0, F.lit(False))
+    asked = docs.select("doc_id", held_out.alias("held_out"), "text")
+    return langid.predict(asked, pieces, langid.train(train, pieces)).drop("text")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as tokens
 
@@ -56,7 +71,7 @@ def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_byte_bpe, op5_best_fit_packing, op6_topk_search, op7_chat_format, op8_quality_rules, op10_url_filter)}
+    return {f.__name__: f for f in (op1_byte_bpe, op4_language_id, op5_best_fit_packing, op6_topk_search, op7_chat_format, op8_quality_rules, op9_hmm_score, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
