@@ -61,4 +61,15 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
-SQL = {"op6_topk_search": OP6, "op7_chat_format": OP7, "op8_quality_rules": OP8, "op10_url_filter": OP10}
+OP2 = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_W}') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i+2], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 1, 2))) AS i FROM d WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+r AS (SELECT doc_id, doc_id AS m FROM documents UNION SELECT e.b, r.m FROM r JOIN e ON e.a = r.doc_id),
+k AS (SELECT doc_id, min(m) AS component_id FROM r GROUP BY doc_id)
+SELECT k.doc_id, coalesce(n, 0) AS n_shingles, component_id, k.doc_id = component_id AS kept FROM k LEFT JOIN n ON n.doc_id = k.doc_id
+"""
+
+SQL = {"op2_minhash_dedup": OP2, "op6_topk_search": OP6, "op7_chat_format": OP7, "op8_quality_rules": OP8, "op10_url_filter": OP10}

@@ -60,12 +60,14 @@ def positions(key: Column, level: int, hashes: int, n_words: int) -> list[Column
     return [F.pmod(F.xxhash64(key, F.lit(1000 * level + i)), F.lit(64 * n_words)) for i in range(hashes)]
 
 
-def build_level(keys: DataFrame, level: int, bits_per_key: int, max_bits: int) -> Bloom | None:
+def build_level(keys: DataFrame, level: int, bits_per_key: int, max_bits: int, exceed: bool = False) -> Bloom | None:
     """A level over the distinct keys (column `key`); None if there are none. Set bits are OR-ed on the executors; the driver gets words only."""
     n = keys.count()
     if not n:
         return None
     n_words = max(1, -(-n * bits_per_key // 64))
+    if exceed and 64 * n_words > max_bits:  # more keys than bits: only more false positives
+        n_words = max_bits // 64
     if 64 * n_words > max_bits:
         raise ValueError(f"level {level} needs {64 * n_words} bits; max_bits is {max_bits}")
     hashes = max(1, round(0.69 * bits_per_key))
