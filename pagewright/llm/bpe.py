@@ -1,28 +1,34 @@
-"""Byte-level BPE with Spark higher-order functions and a literal rank map.
+"""Byte-level BPE encoding and decoding by ranked merges over a rank map.
 
-A text is split by the pattern; a word that is a token itself is looked up, any other word is
-encoded by folding ranked merges over the array of its bytes' ids: each step looks up the rank of
-every adjacent pair and merges the leftmost pair of least rank. Decoding concatenates the tokens'
-binary pieces. Ids are ranks. Everything happens within a row, so there is no shuffle.
+A text is split by the pattern. A word that is a token is looked up; any other word is encoded by
+folding ranked merges over its bytes: always the leftmost pair of least rank. Decoding concatenates
+the tokens' binary pieces. Ids are ranks. All of it happens within a row, so there is no shuffle.
 
-The rank map enters the plan as literal arrays of integers. Pairs are found with one probe: the
-entries of left id a start at `start[a]`, that of right id b is at start[a] + b, and it holds
-a * 2^20 + rank, so that a foreign entry shows. Its size is that of the vocabulary.
+Two forms give the same ids. `Vocabulary` is made of Spark's higher-order functions over literal
+tables: pairs are found with one probe (the entries of left id a start at `start[a]`, that of right
+id b is at start[a] + b and holds a * SHIFT + rank, so that a foreign entry shows). They are
+evaluated one object at a time and fold a word wherever it occurs, which takes several times the
+allowed CPU seconds on whole tables (README). `round_trip` therefore folds each distinct word once
+per worker, in Arrow batches, and is what the query runs.
 
-Words over 48 bytes merge every occurrence of the least pair in one step where that is exact (no
-pair that arises ranks lower), so that very long words take few steps.
-
-Defined results: null and empty texts give no ids; repeated rows are encoded each; extra columns stay.
+Defined results: null and empty texts give no ids; repeated rows are encoded each; an empty table
+gives an empty table; very long words take n log n steps in `round_trip`, n^2 in `Vocabulary`.
 """
 
 from __future__ import annotations
 
 import base64
+import hashlib
+import heapq
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F
 
+from pagewright.functions.ship import ship
 from pagewright.llm.common import bind
 
 NONE = 1 << 40
@@ -120,11 +126,22 @@ def strings(items: list[str]) -> Column:
     return F.split(F.lit("\x00".join(items)), "\x00", -1)
 
 
+#: White space beyond ASCII, which Java's \\s leaves out.
+MORE_SPACE = r"\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+
+
+def for_java(pattern: str) -> str:
+    """pattern with \\s and \\S as all of Unicode's white space."""
+    out = pattern.replace(r"[^\s", r"[^\s" + MORE_SPACE)
+    out = re.sub(r"(?<!\[\^)\\s", lambda _: r"[\s" + MORE_SPACE + "]", out)
+    return out.replace(r"\S", r"[^\s" + MORE_SPACE + "]")
+
+
 class Vocabulary:
     """Encoding and decoding of one vocabulary as column expressions."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
-        self.pattern = pattern
+        self.pattern = for_java(pattern)
         pairs, whole = build_pairs(ranks), build_words({t: i for t, i in ranks.items() if b"\x00" not in t})
         size = max(ranks.values()) + 1
         self.n_shift, self.n_slots = len(whole.shift), len(whole.tokens)
@@ -191,3 +208,72 @@ class Vocabulary:
     def as_bytes(self, ids: Column) -> Column:
         """ids as little-endian unsigned 32-bit integers."""
         return F.unhex(F.array_join(F.transform(ids, lambda i: F.get(self.packed, i.cast("int"))), ""))
+
+
+#: Distinct words kept per worker with their ids; emptied when full.
+STORE = 500_000
+
+
+def merge_ranked(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Folds ranked merges over the bytes of a word: always the leftmost pair of least rank. n log n for long words."""
+    if (whole := ranks.get(word)) is not None:
+        return [whole]
+    if len(word) < 64:
+        parts = [word[i : i + 1] for i in range(len(word))]
+        while True:
+            found = [ranks.get(a + b, NONE) for a, b in zip(parts, parts[1:], strict=False)]
+            if not found or (least := min(found)) == NONE:
+                return [ranks[p] for p in parts]
+            i = found.index(least)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+    parts, after, before = [word[i : i + 1] for i in range(len(word))], [*range(1, len(word)), -1], [*range(-1, len(word) - 1)]
+    heap = [(r, i, i + 1) for i in range(len(word) - 1) if (r := ranks.get(word[i : i + 2])) is not None]
+    heapq.heapify(heap)
+    while heap:
+        r, i, j = heapq.heappop(heap)
+        if after[i] != j or not parts[i] or ranks.get(parts[i] + parts[j]) != r:
+            continue
+        parts[i], parts[j], after[i] = parts[i] + parts[j], b"", after[j]
+        if after[j] >= 0:
+            before[after[j]] = i
+        for a, b in ((before[i], i), (i, after[i])):
+            if a >= 0 and b >= 0 and (x := ranks.get(parts[a] + parts[b])) is not None:
+                heapq.heappush(heap, (x, a, b))
+    return [ranks[p] for p in parts if p]
+
+
+class Distinct(dict):
+    """word -> its ids as bytes; each distinct word is folded once."""
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        self.ranks = ranks
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= STORE:
+            self.clear()
+        self[word] = found = b"".join(i.to_bytes(4, "little") for i in merge_ranked(word.encode(), self.ranks))
+        return found
+
+
+def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of docs (doc_id, text): encoded, then decoded from the ids."""
+    spark = docs.sparkSession
+    ship(spark)
+    shared = spark.sparkContext.broadcast(ranks)  # the size of the vocabulary
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import regex
+
+        ranks = shared.value
+        find, store, pieces = regex.compile(pattern).findall, Distinct(ranks), {i: t for t, i in ranks.items()}
+        sha = lambda b: hashlib.sha256(b).hexdigest()
+        for batch in batches:
+            n, packed, decoded = [], [], []
+            for text in batch.column(1).to_pylist():
+                ids = b"".join(map(store.__getitem__, find(text or "")))
+                n.append(len(ids) // 4)
+                packed.append(sha(ids))
+                decoded.append(sha(b"".join(map(pieces.__getitem__, np.frombuffer(ids, "<u4").tolist()))))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(packed, pa.string()), pa.array(decoded, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

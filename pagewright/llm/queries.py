@@ -37,14 +37,7 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as tokens
 
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    vocabulary = bpe.Vocabulary(bpe.load_ranks(tokens.path("byte_bpe_multi_50k.tiktoken")), tokens.PATTERN)
-    got = docs.select("doc_id", vocabulary.encode(F.col("text")).alias("ids"))
-    return got.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(vocabulary.as_bytes(F.col("ids")), 256).alias("ids_sha256"),
-        F.sha2(vocabulary.decode(F.col("ids")), 256).alias("decoded_sha256"),
-    )
+    return bpe.round_trip(docs, bpe.load_ranks(tokens.path("byte_bpe_multi_50k.tiktoken")), tokens.PATTERN)
 
 
 def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
