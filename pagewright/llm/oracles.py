@@ -72,4 +72,18 @@ k AS (SELECT doc_id, min(m) AS component_id FROM r GROUP BY doc_id)
 SELECT k.doc_id, coalesce(n, 0) AS n_shingles, component_id, k.doc_id = component_id AS kept FROM k LEFT JOIN n ON n.doc_id = k.doc_id
 """
 
-SQL = {"op2_minhash_dedup": OP2, "op6_topk_search": OP6, "op7_chat_format": OP7, "op8_quality_rules": OP8, "op10_url_filter": OP10}
+OP3 = rf"""
+WITH a AS (SELECT doc_id, text, unnest(string_split(coalesce(text, ''), chr(10))) AS raw, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS p0 FROM documents),
+l AS (SELECT doc_id, text, p0, trim(raw, ' ') AS line, row_number() OVER (PARTITION BY doc_id ORDER BY p0) AS n FROM a WHERE regexp_matches(raw, '{_W}')),
+w AS (SELECT x.doc_id, x.n, x.line || chr(10) || y.line || chr(10) || z.line AS win FROM l x JOIN l y ON x.doc_id = y.doc_id AND y.n = x.n + 1 JOIN l z ON x.doc_id = z.doc_id AND z.n = x.n + 2),
+later AS (SELECT doc_id, n FROM (SELECT *, row_number() OVER (PARTITION BY win ORDER BY doc_id, n) AS k FROM w) WHERE k > 1),
+gone AS (SELECT DISTINCT doc_id, n + k AS n FROM later, range(3) t(k)),
+lost AS (SELECT l.doc_id, l.p0 FROM l JOIN gone g ON l.doc_id = g.doc_id AND l.n = g.n),
+c AS (SELECT doc_id, count(*) AS n FROM lost GROUP BY doc_id),
+m AS (SELECT doc_id, count(*) AS n FROM l GROUP BY doc_id),
+t AS (SELECT a.doc_id, string_agg(a.raw, chr(10) ORDER BY a.p0) AS text FROM a ANTI JOIN lost ON a.doc_id = lost.doc_id AND a.p0 = lost.p0 GROUP BY a.doc_id)
+SELECT d.doc_id, coalesce(m.n, 0) AS n_lines, coalesce(c.n, 0) AS n_removed, sha256(CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(t.text, '') END) AS text_sha256
+FROM documents d LEFT JOIN m ON d.doc_id = m.doc_id LEFT JOIN c ON d.doc_id = c.doc_id LEFT JOIN t ON d.doc_id = t.doc_id
+"""
+
+SQL = {"op3_line_dedup": OP3, "op2_minhash_dedup": OP2, "op6_topk_search": OP6, "op7_chat_format": OP7, "op8_quality_rules": OP8, "op10_url_filter": OP10}

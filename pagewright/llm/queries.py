@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pagewright.llm import bpe, chat, hmm, langid, minhash, packing, quality, topk, url_filter
+from pagewright.llm import bpe, chat, hmm, langid, line_dedup, minhash, packing, quality, topk, url_filter
 from pagewright.llm.common import read
 
 #: The URL rules of the contract: verdict, host, path.
@@ -44,6 +44,11 @@ def op2_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read(spark, sf_dir, "documents").select("doc_id", "text"), width=3, per_cent=85)
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.without_repeats(docs).select("doc_id", "n_lines", "n_removed", F.sha2(F.encode("text", "UTF-8"), 256).alias("text_sha256"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as tokens
 
@@ -68,7 +73,7 @@ def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_byte_bpe, op2_minhash_dedup, op4_language_id, op5_best_fit_packing, op6_topk_search, op7_chat_format, op8_quality_rules, op9_hmm_score, op10_url_filter)}
+    return {f.__name__: f for f in (op1_byte_bpe, op2_minhash_dedup, op3_line_dedup, op4_language_id, op5_best_fit_packing, op6_topk_search, op7_chat_format, op8_quality_rules, op9_hmm_score, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
