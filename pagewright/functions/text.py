@@ -152,8 +152,13 @@ ROLE_SEPARATOR = r"\s*(?:,|/|·|•|\||\b및\b)\s*"
 def role_fragments(role: Column) -> Column:
     """The parts of a delimited role list; none without a delimiter."""
     parts = F.transform(F.split(role, "(?U)" + ROLE_SEPARATOR, -1), clean_text)
-    for pattern in (r"\A[\s()\[\]{}]+|[\s()\[\]{}]+\z", r"\s*(?:등\s*)?(?:신입\s*및\s*경력)?채용\s*\z", r"\s*등\s*모집\s*\z"):
-        parts = F.transform(parts, lambda x, p=pattern: F.regexp_replace(x, "(?U)" + p, ""))
+
+    def trimmed(x: Column) -> Column:
+        for pattern in (r"\A[\s()\[\]{}]+|[\s()\[\]{}]+\z", r"\s*(?:등\s*)?(?:신입\s*및\s*경력)?채용\s*\z", r"\s*등\s*모집\s*\z"):
+            x = F.regexp_replace(x, "(?U)" + pattern, "")
+        return x
+
+    parts = F.transform(parts, trimmed)
     return F.when(role.rlike("(?U)" + ROLE_SEPARATOR), F.filter(parts, lambda x: x != "")).otherwise(F.array().cast("array<string>"))
 
 

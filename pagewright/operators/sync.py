@@ -15,7 +15,8 @@ def visit_queue(found: DataFrame, recheck: DataFrame, limit: int = 0) -> DataFra
 
     Discovery order is kept; what is rechecked comes last and so is the first to fall to the limit.
     """
-    both = found.select("url", F.struct(F.lit(0), F.col("page_no").cast("long"), F.col("pos").cast("long")).alias("at")).unionByName(recheck.select("url", F.struct(F.lit(1), F.lit(0).cast("long"), F.col("pos").cast("long")).alias("at")))
+    place = lambda again, page: F.struct(F.lit(again).alias("recheck"), page.cast("long").alias("page_no"), F.col("pos").cast("long").alias("pos"))
+    both = found.select("url", place(0, F.col("page_no")).alias("at")).unionByName(recheck.select("url", place(1, F.lit(0)).alias("at")))
     once = both.groupBy("url").agg(F.min("at").alias("at"))
     return once.orderBy("at", "url").limit(limit) if limit > 0 else once
 

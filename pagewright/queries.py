@@ -1,11 +1,303 @@
-"""The engine's own queries."""
+"""The engine's queries by name, and the DuckDB SQL or the written expectations they have to equal.
+
+Queries over the supplied tables have SQL of their own. Queries of rules that fire on nothing there
+run over written cases; their SQL lists the expected values.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from pagewright import cases
+from pagewright.functions import rules, text, urls
+from pagewright.functions.ship import ship
+from pagewright.functions.vocabulary import GENERIC_PREFIXES
+from pagewright.operators import classify, dates, sections, sync, target
+from pagewright.plans import repeats
+from pagewright.plans.records import content_hash, page_rows, preview, records, with_scope
+from pagewright.sources.listing import first_seen
+
+c = F.col
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+
+
+def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def quoted(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return str(v).upper()
+    if isinstance(v, (list, tuple)):
+        return "[" + ", ".join(map(quoted, v)) + "]" if v else "CAST([] AS VARCHAR[])"
+    return str(v) if isinstance(v, int) else "'" + str(v).replace("'", "''") + "'"
+
+
+def truth(name: str, schema: str, made: dict[str, Callable[[], Column]], found: list[tuple], cast: dict[str, str] | None = None) -> None:
+    """A query over written cases: inputs are the columns of schema, expectations follow them in the order of made."""
+    width = len(schema.split(","))
+    cast = cast or {}
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        rows = [(i, *case[:width]) for i, case in enumerate(found)]
+        df = spark.createDataFrame(rows, "case_id int, " + schema)
+        return df.select("case_id", *[make().alias(n) for n, make in made.items()])
+
+    QUERIES[name] = run
+    columns = [f"CAST(c{n} AS {cast[k]}) AS {k}" if k in cast else f"c{n} AS {k}" for n, k in enumerate(made)]
+    values = ", ".join("(" + ", ".join([str(i), *map(quoted, case[width:])]) + ")" for i, case in enumerate(found))
+    SQL[name] = f"SELECT CAST(i AS INTEGER) AS case_id, {', '.join(columns)} FROM (VALUES {values}) t(i, {', '.join(f'c{n}' for n in range(len(made)))})"
+
+
+truth("heading_text", "s string", {"heading": lambda: text.heading_text(c("s")), "decoration": lambda: text.decoration_only(c("s"))}, cases.HEADINGS)
+truth("bullets", "s string", {"item": lambda: text.bullet_text(c("s"))}, cases.BULLETS, {"item": "VARCHAR"})
+truth("line_values", "s string", {"place": lambda: text.location(c("s")), "period": lambda: text.activity_period(c("s")), "organizer": lambda: text.organizer(c("s"))}, cases.LINE_VALUES)
+truth("split_title", "t string, b string", {k: lambda k=k: text.split_title(c("t"), c("b"), sorted(GENERIC_PREFIXES))[k] for k in ("organization", "role")}, cases.TITLES)
+truth("role_fragments", "s string", {"parts": lambda: text.role_fragments(c("s")), "mixed": lambda: classify.mixed_roles(c("s"))}, cases.ROLE_LISTS)
+truth("section_kind", "s string", {"kind": lambda: rules.section_kind(c("s"))}, cases.SECTION_KINDS, {"kind": "VARCHAR"})
+truth("content_type", "t string, cats array<string>, b string, u string", {"kind": lambda: classify.content_type(c("t"), c("cats"), c("b"), c("u"))}, cases.CONTENT_TYPES)
+truth("design_fields", "t string, b string", {"fields": lambda: classify.design_fields(c("t"), c("b"))}, cases.DESIGN_FIELDS)
+truth("experience", "t string, cats array<string>, b string, k string", {n: lambda f=f: classify.experience(c("t"), c("cats"), c("b"), c("k"))[f] for n, f in (("level", "class"), ("raw", "raw"))}, cases.EXPERIENCE)
+truth("employment_types", "t string, b string", {"types": lambda: classify.employment_types(c("t"), c("b"), F.lit(classify.JOB))}, cases.EMPLOYMENT)
+truth("scope", "k string, t string, r string, hs array<string>, img boolean", {"scope": lambda: classify.scope(c("k"), c("t"), c("r"), c("hs"), c("img"))}, cases.SCOPES)
+truth("status", "t string, b string, d string, day string", {"status": lambda: dates.status(c("t"), c("b"), c("d").cast("date"), c("day").cast("date"))}, cases.STATUS)
+truth("deadline", "b string, p string, day string", {"deadline": lambda: dates.deadline(c("b"), c("p").cast("date"), c("day").cast("date"))}, cases.DEADLINES, {"deadline": "DATE"})
+truth("published_date", "s string", {"day": lambda: dates.published_date(c("s"))}, cases.PUBLISHED, {"day": "DATE"})
+truth("post_url", "h string, b string", {"url": lambda: urls.normalize_post_url(c("h"), c("b"), "site.example")}, cases.POST_URLS, {"url": "VARCHAR"})
+truth("document_id", "s string", {"id": lambda: urls.document_id(c("s"))}, cases.DOCUMENT_IDS)
+truth("wrapped_text", "s string", {"pieces": lambda: text.wrap(c("s"), 10)}, cases.WRAPS)
+
+_BLOCKS = "struct<kind:string,text:string>"
+
+
+def cases_with_blocks(spark: SparkSession, found: list) -> DataFrame:
+    rows = [(i, [tuple(b) for b in case[0]]) for i, case in enumerate(found)]
+    return spark.createDataFrame(rows, f"case_id int, blocks array<{_BLOCKS}>").withColumn("m", sections.labelled(c("blocks")))
+
+
+def expected(found: list, names: list[str]) -> str:
+    values = ", ".join("(" + ", ".join([str(i), *map(quoted, case[1:])]) + ")" for i, case in enumerate(found))
+    return f"SELECT CAST(i AS INTEGER) AS case_id, {', '.join(f'c{n} AS {k}' for n, k in enumerate(names))} FROM (VALUES {values}) t(i, {', '.join(f'c{n}' for n in range(len(names)))})"
+
+
+@query(expected(cases.SECTIONS, ["key_duties", "qualifications", "preferred_qualifications", "essay_questions", "pre_assignment", "benefits"]))
+def section_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = cases_with_blocks(spark, cases.SECTIONS)
+    got = sections.structured(c("m"), F.lit(True)) | {"benefits": sections.benefits(c("m"))}
+    return df.select("case_id", *[got[n].alias(n) for n in ("key_duties", "qualifications", "preferred_qualifications", "essay_questions", "pre_assignment", "benefits")])
+
+
+@query(expected(cases.LOGICAL, ["kinds"]))
+def logical_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cases_with_blocks(spark, cases.LOGICAL).select("case_id", F.transform("m", lambda b: F.coalesce(b.logical, F.lit(""))).alias("kinds"))
+
+
+@query(expected(cases.PAGES, ["ids", "titles", "kinds", "collection", "scopes"]))
+def full_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole pages through every stage, gathered by page."""
+    rows = [(i, f"https://site.example/archives/{i + 1}", case[0]) for i, case in enumerate(cases.PAGES)]
+    pages = spark.createDataFrame(rows, "case_id int, url string, html string")
+    found = with_scope(records(pages, "2026-08-12", "SITE")).withColumn("url", c("source_url"))
+    got = found.groupBy("url").agg(F.array_sort(F.collect_list(F.struct("post_id", "title", "content_type", "collection_status", "scope"))).alias("r"))
+    joined = pages.select("case_id", "url").join(got, "url", "left")
+    r = F.coalesce(c("r"), F.array().cast("array<struct<post_id:string,title:string,content_type:string,collection_status:string,scope:string>>"))
+    return joined.select("case_id", *[r[n].alias(k) for k, n in (("ids", "post_id"), ("titles", "title"), ("kinds", "content_type"), ("collection", "collection_status"), ("scopes", "scope"))])
+
+
+_UNESCAPE = "replace(replace(replace(replace(replace({}, '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
+
+
+@query(f"SELECT page_id, url, trim({_UNESCAPE.format(_UNESCAPE.format(chr(114) + 'egexp_extract(html, ' + chr(39) + '<h1>(.*?)</h1>' + chr(39) + ', 1)'))}) AS title FROM pages")
+def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    return page_rows(pages).join(pages.select("page_id", "url"), "url").select("page_id", "url", "title")
+
+
+@query()
+def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Title, block count and text length of each page."""
+    rows = page_rows(read(spark, sf_dir, "pages"))
+    return rows.select("url", "title", F.size("blocks").alias("n_blocks"), F.length(text.all_text(c("blocks"))).alias("n_chars"), "had_images")
+
+
+@query("SELECT href, min(page_id) AS page_id FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a href=\"(/[^\"]*)\"', 1)) AS href FROM pages) GROUP BY href")
+def first_seen_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    got = page_rows(pages).join(pages.select("page_id", "url"), "url").select("page_id", F.posexplode("links").alias("pos", "l"))
+    path = F.regexp_extract("l.href", r"^[a-z]+://[^/]+(/.*)$", 1)
+    found = first_seen(got.select(c("page_id").alias("page_no"), "pos", path.alias("url"), "l.categories"))
+    return found.select(c("url").alias("href"), c("page_no").alias("page_id"))
+
+
+@query("SELECT page_id, lower(regexp_extract(url, '^[a-z]+://(?:www\\.)?([^/?#:]+)', 1)) AS host FROM pages")
+def url_host(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "pages").select("page_id", urls.host(c("url")).alias("host"))
+
+
+@query(r"""SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '[\t\r\f\v]+', ' ', 'g'), ' {2,}', ' ', 'g'), '\n +', chr(10), 'g'), ' +\n', chr(10), 'g'), '\n{3,}', chr(10) || chr(10), 'g'), ' ' || chr(10)) AS text FROM documents""")
+def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "documents").select("doc_id", text.clean_text(c("text")).alias("text"))
+
+
+@query("SELECT doc_id, count(*) AS n, CAST(sum(length(l)) AS BIGINT) AS chars FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM documents) WHERE trim(l) <> '' GROUP BY doc_id")
+def text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.filter(text.lines(c("text")), lambda x: F.trim(x) != "").alias("ls")).filter(F.size("ls") > 0)
+    return docs.select("doc_id", F.size("ls").cast("long").alias("n"), F.aggregate("ls", F.lit(0).cast("long"), lambda a, x: a + F.length(x)).alias("chars"))
+
+
+@query(r"""WITH p AS (SELECT doc_id, text, left(text, 301) AS h FROM documents), q AS (SELECT *, regexp_extract(h, '(?s)^(.*\s)', 1) AS a, regexp_extract(h, '(?s)^(.*[.!?])(?:\s|$)', 1) AS b FROM p)
+SELECT doc_id, CASE WHEN length(text) <= 300 THEN text WHEN greatest(length(a), length(b)) > 0 THEN trim(CASE WHEN length(a) >= length(b) THEN a ELSE b END, ' ' || chr(10)) ELSE trim(left(text, 300), ' ' || chr(10)) END AS head FROM q""")
+def truncated_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "documents").select("doc_id", text.truncate_at_boundary(c("text"), 300).alias("head"))
+
+
+@query(r"""WITH l AS (SELECT doc_id, line, i FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents) WHERE trim(line) <> ''),
+s AS (SELECT *, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i) - 1 AS n, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM l),
+f AS (SELECT doc_id FROM s WHERE k = 1 AND n <= 400)
+SELECT doc_id, trim(string_agg(line, chr(10) ORDER BY i), ' ' || chr(10)) AS head FROM s SEMI JOIN f USING (doc_id) WHERE n <= 400 GROUP BY doc_id""")
+def complete_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", F.filter(text.lines(c("text")), lambda x: F.trim(x) != "").alias("ls"))
+    docs = docs.filter((F.size("ls") > 0) & (F.length(F.get("ls", F.lit(0))) <= 400))
+    return docs.select("doc_id", text.join_complete_lines(c("ls"), 400).alias("head"))
+
+
+@query("SELECT event_id, user_id, event_type FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS p FROM events) WHERE p IS DISTINCT FROM event_type")
+def adjacent_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = repeats.adjacent_distinct(read(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"], ["event_type"])
+    return got.select("event_id", "user_id", "event_type")
+
+
+@query(r"""WITH l AS (SELECT doc_id, trim(raw) AS text, i FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)),
+p AS (SELECT a.doc_id, a.i, b.i AS j, b.i - a.i AS gap, length(a.text) AS n FROM l a JOIN l b ON a.doc_id = b.doc_id AND a.text = b.text AND b.i >= a.i + 1),
+r AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, gap ORDER BY i) AS run FROM p),
+s AS (SELECT *, least(count(*) OVER (PARTITION BY doc_id, gap, run ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), gap) AS size FROM r),
+t AS (SELECT s.doc_id, s.i, s.j, s.size, (SELECT sum(length(l.text)) FROM l WHERE l.doc_id = s.doc_id AND l.i BETWEEN s.i AND s.i + s.size - 1) AS chars FROM s)
+SELECT doc_id, CAST(i AS INTEGER) AS first, CAST(j AS INTEGER) AS second, CAST(size AS INTEGER) AS size FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY size DESC, j, i) AS k FROM t WHERE chars >= 20) WHERE k = 1""")
+def repeated_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select(c("doc_id").alias("key"), F.posexplode(text.lines(c("text"))).alias("pos", "text"))
+    got = repeats.repeated_runs(docs.select("key", (c("pos") + 1).alias("pos"), F.trim("text").alias("text")), 1, 20)
+    return got.select(c("key").alias("doc_id"), "first", "second", "size")
+
+
+@query("""SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text FROM (SELECT doc_id, line, min(i) AS i FROM (SELECT doc_id, trim(unnest(string_split(text, chr(10)))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)
+WHERE line <> '' GROUP BY doc_id, line) GROUP BY doc_id""")
+def combined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = F.array_distinct(F.filter(F.transform(text.lines(c("text")), lambda x: F.trim(x)), lambda x: x != ""))
+    return read(spark, sf_dir, "documents").select("doc_id", F.array_join(got, "\n").alias("text")).filter("text <> ''")
+
+
+@query("SELECT l_orderkey, l_linenumber FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity DESC, l_extendedprice DESC, l_linenumber) AS k FROM lineitem) WHERE k = 1")
+def best_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    best = F.max_by("l_linenumber", F.struct("l_quantity", "l_extendedprice", -c("l_linenumber")))
+    return read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(best.alias("l_linenumber"))
+
+
+@query("""SELECT o_orderkey, sha256('{"key":' || o_orderkey || ',"status":"' || o_orderstatus || '","user":' || o_custkey || '}') AS content_hash FROM orders""")
+def content_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = read(spark, sf_dir, "orders").select(c("o_orderkey").alias("key"), c("o_orderstatus").alias("status"), c("o_custkey").alias("user"))
+    return orders.select(c("key").alias("o_orderkey"), content_hash(["key", "status", "user"]).alias("content_hash"))
+
+
+def hashed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read(spark, sf_dir, "orders")
+    return o.select(c("o_orderkey").cast("string").alias("post_id"), F.sha2(F.concat_ws("|", "o_orderkey", "o_orderstatus"), 256).alias("content_hash"), c("o_orderdate").cast("date").alias("last_checked"), F.when(c("o_orderstatus") == "O", "모집 중").otherwise("마감").alias("status"), F.concat(F.lit("https://site.example/archives/"), "o_orderkey").alias("source_url"), "o_orderkey")
+
+
+def known_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third order is new to the target, of the others every fifth has changed."""
+    old = hashed_orders(spark, sf_dir).filter(c("o_orderkey") % 3 != 0)
+    return old.withColumn("content_hash", F.when(c("o_orderkey") % 5 == 0, F.lit("old")).otherwise(c("content_hash")))
+
+
+_OUTCOME = "CASE WHEN o_orderkey % 3 = 0 THEN 'created' WHEN o_orderkey % 5 = 0 THEN 'updated' ELSE 'unchanged' END"
+
+
+@query(f"SELECT CAST(o_orderkey AS VARCHAR) AS post_id, {_OUTCOME} AS outcome FROM orders")
+def change_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sync.changes(hashed_orders(spark, sf_dir), known_orders(spark, sf_dir)).select("post_id", "outcome")
+
+
+@query(f"SELECT count(*) FILTER (o = 'created') AS created, count(*) FILTER (o = 'updated') AS updated, count(*) FILTER (o = 'unchanged') AS unchanged, CAST(0 AS BIGINT) AS skipped, CAST(0 AS BIGINT) AS errors FROM (SELECT {_OUTCOME} AS o FROM orders)")
+def outcome_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sync.counters(sync.changes(hashed_orders(spark, sf_dir), known_orders(spark, sf_dir)))
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS post_id, CAST(o_orderdate AS DATE) AS last_checked FROM orders WHERE o_orderstatus = 'O' ORDER BY CAST(o_orderdate AS DATE), CAST(o_orderkey AS VARCHAR) LIMIT 20")
+def recheck_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sync.recheck(hashed_orders(spark, sf_dir), 20).select("post_id", "last_checked")
+
+
+@query("""SELECT url, CAST(min(CASE WHEN page_id % 2 = 0 THEN page_id ELSE 1000000 + page_id END) AS BIGINT) AS rank FROM pages GROUP BY url""")
+def visit_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    found = pages.filter("page_id % 2 = 0").select("url", F.lit(1).alias("page_no"), c("page_id").alias("pos"))
+    later = pages.select("url", c("page_id").alias("pos"))
+    got = sync.visit_queue(found, later)
+    return got.select("url", (c("at.recheck") * 1000000 + c("at.pos")).cast("long").alias("rank"))
+
+
+@query("SELECT url, page_id FROM pages WHERE page_id % 2 = 1 AND url NOT IN (SELECT url FROM pages WHERE page_id % 2 = 0)")
+def append_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("url", "page_id")
+    return sync.append_missing(pages.filter("page_id % 2 = 0"), pages.filter("page_id % 2 = 1"))
+
+
+@query("SELECT d.doc_id, CASE WHEN d.doc_id % 4 = 0 THEN [d.lang] WHEN l.doc_id IS NULL THEN CAST([] AS VARCHAR[]) ELSE [CAST(l.quality AS VARCHAR)] END AS categories FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id")
+def category_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", c("doc_id").cast("string").alias("url"), F.when(c("doc_id") % 4 == 0, F.array("lang")).otherwise(F.array().cast("array<string>")).alias("own"))
+    listing = read(spark, sf_dir, "labels").select(c("doc_id").cast("string").alias("url"), F.array(c("quality").cast("string")).alias("categories"))
+    got = sync.with_categories(docs, listing)
+    return got.select("doc_id", F.when(F.size("own") > 0, c("own")).otherwise(F.coalesce("fallback_categories", F.array().cast("array<string>"))).alias("categories"))
+
+
+def lines_as_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    docs = read(spark, sf_dir, "documents")
+    blocks = F.transform(F.filter(text.lines(c("text")), lambda x: F.trim(x) != ""), lambda x: F.struct(F.lit("paragraph").alias("kind"), x.alias("text")))
+    return docs.select(c("doc_id").cast("string").alias("post_id"), F.concat(F.lit("https://site.example/archives/"), c("doc_id").cast("string")).alias("source_url"), blocks.alias("body_blocks"), F.struct(F.lit(False).alias("missing_job_duties")).alias("quality_reasons"))
+
+
+@query(r"""WITH l AS (SELECT doc_id, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) WHERE trim(line) <> ''),
+n AS (SELECT doc_id, sum(CAST(ceil(length(line) / 500.0) AS BIGINT)) AS k FROM l GROUP BY doc_id)
+SELECT CAST(d.doc_id AS VARCHAR) AS post_id, CAST(coalesce(k, 0) + 3 AS BIGINT) AS n, CAST((coalesce(k, 0) + 2) // 100 AS INTEGER) AS last_batch FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id""")
+def child_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = target.child_blocks(lines_as_records(spark, sf_dir), most=500)
+    return got.groupBy("post_id").agg(F.count(F.lit(1)).alias("n"), F.max("batch").alias("last_batch"))
+
+
+@query(r"""WITH n AS (SELECT doc_id, len(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '')) AS k FROM documents)
+SELECT CAST(doc_id AS VARCHAR) AS post_id, CAST(k AS INTEGER) AS total, CAST(greatest(0, k - 8) AS INTEGER) AS omitted, CAST(least(k, 8) AS INTEGER) AS shown FROM n""")
+def previews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = preview(lines_as_records(spark, sf_dir))
+    j = F.from_json("preview", "body_blocks_total int, body_blocks_omitted int, body_blocks_preview array<struct<kind:string,text:string>>")
+    return got.select("post_id", j.alias("j")).select("post_id", c("j.body_blocks_total").alias("total"), c("j.body_blocks_omitted").alias("omitted"), F.size("j.body_blocks_preview").alias("shown"))
+
+
+@query("SELECT count(*) FILTER (doc_id % 3 = 0) AS in_scope, count(*) FILTER (doc_id % 3 = 1) AS filtered_non_design, count(*) FILTER (doc_id % 3 = 2) AS filtered_ambiguous FROM documents")
+def filter_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scope = F.element_at(F.array(F.lit("in_scope"), F.lit("non_design_role"), F.lit("ambiguous_mixed_roles")), (c("doc_id") % 3 + 1).cast("int"))
+    return sync.filter_counters(read(spark, sf_dir, "documents").select(classify.scope_bucket(scope).alias("bucket")))
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
