@@ -11,7 +11,7 @@ from functools import lru_cache
 
 from pyspark.sql import Column, functions as F
 
-from pagewright.functions.text import clean_text, clean_text_py, decoration_only, heading_text, heading_text_py
+from pagewright.functions.text import clean_text, clean_text_py, decoration_only, heading_text, heading_text_py, let
 from pagewright.functions.vocabulary import SECTION_BOUNDARY_HEADINGS, SECTION_HEADINGS
 
 KINDS = tuple(SECTION_HEADINGS)
@@ -89,22 +89,25 @@ def section_kind(text: Column) -> Column:
             out = F.when(c.rlike(java(pattern, full=True)), F.lit(kind)).otherwise(out)
         return out
 
-    t = clean_text(text)
-    whole = heading_text(t)
-    inner = F.transform(F.regexp_extract_all(t, F.lit(java(BRACKETED)), F.lit(1)), lambda x: of(heading_text(x)))
-    out = F.lit(None).cast("string")
-    for most, pattern, kind in reversed(SENTENCES):
-        out = F.when((F.length(whole) <= most) & whole.rlike(java(pattern, full=True)), F.lit(kind)).otherwise(out)
-    return F.coalesce(F.get(F.filter(inner, lambda x: x.isNotNull()), F.lit(0)), of(whole), F.when(whole != "", out))
-
-
-def joined_kind(pieces: list[Column]) -> Column:
-    """Kind of a heading that is split over neighbouring blocks; pieces are heading texts, null beyond the ends."""
-    ok = F.lit(True)
-    for p in pieces:
-        ok = ok & p.isNotNull() & (p != "") & (F.length(p) <= 30)
-    whole = F.concat_ws(" ", *pieces)
-    return F.when(F.coalesce(ok, F.lit(False)), F.when(whole.rlike(java(r"지원\s*자격\s*요건", full=True)), F.lit("audience")).otherwise(section_kind(whole)))
+    def sentence(whole: Column) -> Column:
+        out = F.lit(None).cast("string")
+        for most, pattern, kind in reversed(SENTENCES):
+            out = F.when((F.length(whole) <= most) & whole.rlike(java(pattern, full=True)), F.lit(kind)).otherwise(out)
+        return F.when(whole != "", out)
+
+    def over(t: Column) -> Column:
+        inner = F.transform(F.regexp_extract_all(t, F.lit(java(BRACKETED)), F.lit(1)), heading_text)
+        tried = F.concat(inner, F.array(heading_text(t)))
+        return let(tried, lambda cs: F.coalesce(F.get(F.filter(F.transform(cs, of), lambda k: k.isNotNull()), F.lit(0)), let(F.element_at(cs, -1), sentence)))
+
+    return let(clean_text(text), over)
+
+
+def joined_kind(pieces: Column) -> Column:
+    """Kind of a heading that is split over neighbouring blocks; pieces: their heading texts, null beyond the ends."""
+    ok = F.forall(pieces, lambda p: F.coalesce((p != "") & (F.length(p) <= 30), F.lit(False)))
+    kind = lambda w: F.when(w.rlike(java(r"지원\s*자격\s*요건", full=True)), F.lit("audience")).otherwise(section_kind(w))
+    return F.when(ok, let(F.array_join(pieces, " "), kind))
 
 
 def is_full(pattern: str, text: Column) -> Column:

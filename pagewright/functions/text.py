@@ -17,6 +17,11 @@ from pyspark.sql import Column, functions as F, types as T
 DECORATION = r"[\s\x{200D}\p{M}\p{P}\p{S}]"
 
 
+def let(value: Column, body) -> Column:
+    """body(value), with value in the plan and worked out once however often body uses it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def clean_text(text: Column) -> Column:
     """White space put in order; character references stay (see clean_markup)."""
     t = F.translate(F.coalesce(text, F.lit("")), "\u200b\ufeff", "")
@@ -75,9 +80,12 @@ SPACED_BULLET = r"\A[\-–—]\s+(\S.*)\z"
 
 def bullet_text(text: Column) -> Column:
     """What follows a bullet, null without one."""
-    t = clean_text(text)
-    found = [F.nullif(F.regexp_extract(t, "(?Ud)" + p, 1), F.lit("")) for p in (COMPACT_BULLET, SPACED_BULLET)]
-    return F.when(F.coalesce(*found).isNotNull(), clean_text(F.coalesce(*found)))
+
+    def of(t: Column) -> Column:
+        found = [F.nullif(F.regexp_extract(t, "(?Ud)" + p, 1), F.lit("")) for p in (COMPACT_BULLET, SPACED_BULLET)]
+        return let(F.coalesce(*found), lambda x: F.when(x.isNotNull(), clean_text(x)))
+
+    return let(clean_text(text), of)
 
 
 def bullet_text_py(text: str) -> str | None:
@@ -97,11 +105,14 @@ def text_length(blocks: Column) -> Column:
 
 def truncate_at_boundary(text: Column, most: int) -> Column:
     """text up to the last white space or sentence end within `most` characters, cut hard where there is none."""
-    prefix = F.left(text, F.lit(most + 1))
-    space = F.regexp_extract(prefix, r"(?sU)\A(.*\s)", 1)
-    stop = F.regexp_extract(prefix, r"(?sU)\A(.*[.!?。！？](?=\s|\z))", 1)
-    longest = F.when(F.length(space) >= F.length(stop), space).otherwise(stop)
-    return F.when(F.length(text) <= most, text).otherwise(F.when(longest != "", clean_text(longest)).otherwise(clean_text(F.left(text, F.lit(most)))))
+
+    def cut(t: Column) -> Column:
+        prefix = F.left(t, F.lit(most + 1))
+        ends = F.array(*[F.regexp_extract(prefix, rf"(?sU)\A(.*{end})", 1) for end in (r"\s", r"[.!?。！？](?=\s|\z)")])
+        longest = let(ends, lambda e: F.when(F.length(e[0]) >= F.length(e[1]), e[0]).otherwise(e[1]))
+        return F.when(F.length(t) <= most, t).otherwise(clean_text(let(longest, lambda x: F.when(x != "", x).otherwise(F.left(t, F.lit(most))))))
+
+    return let(text, cut)
 
 
 def join_complete_lines(lines: Column, most: int) -> Column:
@@ -113,8 +124,13 @@ def join_complete_lines(lines: Column, most: int) -> Column:
         fits = acc["go"] & (n <= most)
         return F.struct(F.when(fits, n).otherwise(acc["n"]).alias("n"), F.when(fits, F.concat(acc["out"], F.array(x))).otherwise(acc["out"]).alias("out"), fits.alias("go"))
 
-    kept = F.aggregate(lines, zero, step, lambda acc: acc["out"])
-    return clean_text(F.when((F.size(kept) == 0) & (F.size(lines) > 0), truncate_at_boundary(F.get(lines, F.lit(0)), most)).otherwise(F.array_join(kept, "\n")))
+
+    def joined(every: Column) -> Column:
+        kept = F.aggregate(every, zero, step, lambda acc: acc["out"])
+        first = F.get(every, F.lit(0))
+        return F.when(F.length(first) > most, truncate_at_boundary(first, most)).otherwise(F.array_join(kept, "\n"))
+
+    return clean_text(let(lines, joined))
 
 
 def line_value(text: Column, labels: str, most: int = 500) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, functions as F
 
 from pagewright.functions import rules
 from pagewright.functions.rules import is_full, java, joined_kind, section_kind
-from pagewright.functions.text import clean_text, decoration_only, heading_text, join_complete_lines, lines
+from pagewright.functions.text import clean_text, decoration_only, heading_text, join_complete_lines, let, lines
 from pagewright.operators.classify import design_fields
 
 EMPTY = "array<string>"
@@ -33,17 +33,21 @@ def labelled(blocks: Column) -> Column:
     def over(hs: Column) -> Column:
         def one(b: Column, i: Column) -> Column:
             at = lambda n: F.when(i + n >= 0, F.get(hs, i + n).h)
-            here = F.get(hs, i)
-            split = [joined_kind([at(n) for n in span]) for span in ((-1, 0), (0, 1), (-1, 0, 1), (0, 1, 2))]
-            text = clean_text(b.text)
-            return F.struct(
-                i.alias("i"), b.kind.alias("kind"), text.alias("text"), here.h.alias("h"), F.coalesce(here.k, *split).alias("logical"), role_marker(b.kind, here.h).alias("role"),
-                ((text == "") | decoration_only(text)).alias("skip"), text.rlike(java(r"\A" + rules.DATE_NOTICE)).alias("notice"),
-            )
+            spans = F.array(*[F.array(*[at(n) for n in span]) for span in ((-1, 0), (0, 1), (-1, 0, 1), (0, 1, 2))])
+            split = F.get(F.filter(F.transform(spans, joined_kind), lambda k: k.isNotNull()), F.lit(0))
+
+            def made(text: Column, here: Column) -> Column:
+                logical = F.when(here.k.isNotNull(), here.k).otherwise(split)
+                return F.struct(
+                    i.alias("i"), b.kind.alias("kind"), text.alias("text"), here.h.alias("h"), logical.alias("logical"), role_marker(b.kind, here.h).alias("role"),
+                    ((text == "") | decoration_only(text)).alias("skip"), text.rlike(java(r"\A" + rules.DATE_NOTICE)).alias("notice"),
+                )
+
+            return let(clean_text(b.text), lambda t: let(F.get(hs, i), lambda h: made(t, h)))
 
         return F.transform(blocks, one)
 
-    return F.transform(F.array(heads), over)[0]
+    return let(heads, over)
 
 
 def section(blocks: Column, kind: str | None, most: int = 1800, patterns: list[str] | None = None, combine: bool = False) -> Column:
@@ -64,7 +68,7 @@ def section(blocks: Column, kind: str | None, most: int = 1800, patterns: list[s
 
     def step(a: Column, x: Column) -> Column:
         heading = x["kind"].startswith("heading")
-        target = x["logical"].eqNullSafe(F.lit(kind)) if kind else heading & x["h"].rlike(java("|".join(patterns or [])))
+        target = x["logical"].eqNullSafe(F.lit(kind)) if kind else heading & x["h"].rlike(java("|".join(patterns or [])))  # never a notice line
         same = x["logical"].eqNullSafe(F.lit(kind) if kind else F.lit(None).cast("string"))
         none = F.array().cast(EMPTY)
         ends = x["notice"]
@@ -76,9 +80,8 @@ def section(blocks: Column, kind: str | None, most: int = 1800, patterns: list[s
             F.when(target & ~a["on"], state(F.lit(True), opened, x["i"], none, a["done"]))
             .when(~a["on"], a)
             .when(stops & same & (F.size(a["out"]) == 0), a)
-            .when(stops, state(target, a["prio"], F.when(target, x["i"]).otherwise(a["start"]), none, closed(a)))
-            .when(x["skip"], a)
-            .when(ends, state(F.lit(False), a["prio"], a["start"], none, closed(a)))
+            .when(~stops & x["skip"], a)
+            .when(stops | ends, state(target, a["prio"], F.when(target, x["i"]).otherwise(a["start"]), none, closed(a)))
             .otherwise(state(F.lit(True), a["prio"], a["start"], F.concat(a["out"], F.array(x["text"])), a["done"]))
         )
 
@@ -98,8 +101,8 @@ def key_duties(blocks: Column, job: Column) -> Column:
 def essay_questions(blocks: Column) -> Column:
     """Blank where all lines only ask for a cover letter."""
     found = section(blocks, "essay")
-    asked = F.filter(lines(found), lambda x: x != "")
-    return F.when(F.exists(asked, lambda x: ~is_full(rules.ESSAY_SUBMISSION, x)), found).otherwise("")
+    asked = lambda t: F.exists(lines(t), lambda x: (x != "") & ~is_full(rules.ESSAY_SUBMISSION, x))
+    return let(found, lambda t: F.when(asked(t), t).otherwise(""))
 
 
 def pre_assignment(blocks: Column) -> Column:

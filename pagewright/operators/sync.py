@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from pagewright.functions.tables import materialise
 from pagewright.plans.records import records, with_scope
 
 
@@ -89,9 +90,9 @@ def filter_counters(found: DataFrame) -> DataFrame:
 
 
 def run(fetched: DataFrame, listing: DataFrame, target: DataFrame, as_of, site: str = "") -> dict[str, DataFrame]:
-    """One sync of fetched pages (url, status, html): the new target, the outcomes and both summaries. Nothing is written here."""
+    """One sync of fetched pages (url, status, html): the new target, the outcomes and both summaries. The records of the run are kept in the shared folder; the target is not written here."""
     good = with_categories(fetched.filter("status = 'ok'").select("url", "html"), listing)
-    scoped = with_scope(records(good, as_of, site))
+    scoped = materialise(with_scope(records(good, as_of, site)), "records")  # pages are parsed once
     decided = changes(scoped.filter("scope = 'in_scope'").drop("scope", "bucket"), target)
     gone = missing(fetched, target)
     failed = fetched.filter("status = 'error'").select(F.lit("errors").alias("outcome"))
