@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from pagewright.functions.tables import materialise
+
+__all__ = ["NOT_WORD", "WORD", "bind", "lower_ascii", "materialise", "read", "words"]
+
 #: Words of every contract in this package: runs of anything but space and \t\n\v\f\r.
 WORD = r"[^\x20\x09-\x0D]+"
 NOT_WORD = r"[\x20\x09-\x0D]+"
@@ -16,25 +17,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir); a local one only where the session names none, as in tests."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = spark.sparkContext.getCheckpointDir()
-    if not found:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pagewright-"))
-        found = spark.sparkContext.getCheckpointDir()
-    return found
-
-
-def materialise(df: DataFrame, name: str = "t") -> DataFrame:
-    """df written as Parquet to the shared folder and read again: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/pagewright/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def words(text: Column) -> Column:
     """Array of the words of text; null and empty give an empty array."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({WORD})"), F.lit(1))

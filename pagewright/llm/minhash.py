@@ -2,16 +2,16 @@
 
 Documents with the same shingle set form a class, known by a 128-bit fingerprint; only classes are
 joined. Each class has `3 * trees` minwise values. Every tree sends it to the node that three of
-them select; nodes with more than `small` classes branch again, each class into `branches` children
-by three further values chosen by the node's path. Independent trees bring the recall of one pair
-at similarity s to 1 - (1 - s^3)^trees at least for pairs of small nodes.
+them select; nodes with more than `small` classes branch, each class into `branches` children by
+three further values chosen by the node's path, level by level; smaller nodes are compared
+exhaustively. Independent trees bring the recall of a pair at similarity s to
+1 - (1 - s^3)^trees where its nodes are small.
 
-The comparison in the nodes stops at connectivity. In a few rounds each class meets one pivot of its
-node and the links that hold on the full sets merge components; nodes of a single component are
-done. Whatever still stands in different components of a node is then compared exhaustively: the
-classes outside a node's largest component with all its others, so the work grows with what is not
-connected and not with the square of a group. Links are always confirmed on the full sets (of
-64-bit shingle hashes, exact but for hash collisions), never on the minwise values.
+The comparison in the nodes stops at connectivity: before the exhaustive step each class meets a
+pivot of its nodes, links that hold on the full sets merge components, and a node of a single
+component is done. So the work grows with what is not yet connected, not with the square of a group.
+Links are always confirmed on the full sets (of 64-bit shingle hashes, exact but for collisions),
+never on the minwise values.
 
 Nothing but a Bloom filter of bounded size reaches the driver; labels, links and sets stay in tables.
 
@@ -112,24 +112,22 @@ def triple(sig: Column, which: list[Column]) -> Column:
     return F.xxhash64(*[F.substr(sig, w * 4 + 1, F.lit(4)) for w in which])
 
 
-def tree_nodes(classes: DataFrame, trees: int, small: int, branches: int, depth: int) -> DataFrame:
-    """node, fp, n, sig: the nodes with two classes or more, large ones branched up to `depth` times."""
-    values = 3 * trees
-    roots = F.array(*[F.xxhash64(F.lit(t), F.substr("sig", F.lit(12 * t + 1), F.lit(12))) for t in range(trees)])
-    now = classes.select("fp", "n", "sig", F.explode(roots).alias("node"))
-    out = None
-    for level in range(depth + 1):
-        size = now.groupBy("node").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-        now = materialise(now.join(size, "node"), "nodes")
-        kept = now if level == depth else now.filter(F.col("size") <= small)
-        out = kept if out is None else out.unionByName(kept)
-        large = now.filter(F.col("size") > small)
-        if level == depth or large.isEmpty():
-            break
-        child = F.explode(F.sequence(F.lit(0), F.lit(branches - 1)))
-        chosen = [F.pmod(F.xxhash64("node", "child", F.lit(k)), F.lit(values)).cast("int") for k in range(3)]
-        now = large.withColumn("child", child).select("fp", "n", "sig", F.xxhash64("node", "child", triple(F.col("sig"), chosen)).alias("node"))
-    return out.drop("size")
+def roots(classes: DataFrame, trees: int) -> DataFrame:
+    """node, fp, n, sig: each tree's first node of each class, where it has two classes or more."""
+    nodes = F.array(*[F.xxhash64(F.lit(t), F.substr("sig", F.lit(12 * t + 1), F.lit(12))) for t in range(trees)])
+    return shared(classes.select("fp", "n", "sig", F.explode(nodes).alias("node")))
+
+
+def shared(nodes: DataFrame) -> DataFrame:
+    several = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("node")
+    return nodes.join(several, "node")
+
+
+def branched(nodes: DataFrame, branches: int, values: int) -> DataFrame:
+    """The children of nodes, each chosen by three further values that follow from the node's path."""
+    child = F.explode(F.sequence(F.lit(0), F.lit(branches - 1)))
+    chosen = [F.pmod(F.xxhash64("node", "child", F.lit(k)), F.lit(values)).cast("int") for k in range(3)]
+    return shared(nodes.withColumn("child", child).select("fp", "n", "sig", F.xxhash64("node", "child", triple(F.col("sig"), chosen)).alias("node")))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -158,10 +156,16 @@ def agreeing(x: Column, y: Column, values: int) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.lit(values - 1)), F.lit(0), lambda acc, i: acc + equal(i))
 
 
-def link(classes: DataFrame, docs: DataFrame, width: int, per_cent: int, trees: int = 16, small: int = 64, branches: int = 3, depth: int = 2, rounds: int = 3) -> DataFrame | None:
-    """fp, comp of every class with a link; None if no node has two classes. classes: fp, n, sig, doc_id of one row."""
+def link(classes: DataFrame, docs: DataFrame, width: int, per_cent: int, trees: int = 16, small: int = 32, branches: int = 2, depth: int = 8, rounds: int = 2) -> DataFrame | None:
+    """fp, comp of every class in a node with another; None if there is none. classes: fp, n, sig, doc_id of one row.
+
+    A level: `rounds` times each class meets one pivot of its nodes; then nodes of at most `small`
+    classes compare all that is still apart, and larger ones branch. Nodes of one component drop
+    out at every step. Nodes that are large at the last level compare the classes outside their
+    largest component with all others.
+    """
     values = 3 * trees
-    nodes = materialise(tree_nodes(classes, trees, small, branches, depth), "members")
+    nodes = materialise(roots(classes, trees), "nodes")
     if nodes.isEmpty():
         return None
     inside = materialise(nodes.select("fp").distinct(), "inside")
@@ -170,10 +174,11 @@ def link(classes: DataFrame, docs: DataFrame, width: int, per_cent: int, trees:
     maybe = docs.filter(F.col("doc_id").isNull() | bloom.has(F.col("doc_id").cast("long"))) if bloom else docs
     sets = materialise(full_sets(maybe, width).join(inside, "fp", "left_semi").dropDuplicates(["fp"]), "sets")
 
-    # sizes that can reach the threshold; and 5 standard deviations of the agreement at the threshold
+    # sizes that can reach the threshold; and agreement within 4 standard deviations of that at the threshold
     p = per_cent / 100
-    least = int(values * p - 5 * (values * p * (1 - p)) ** 0.5)
-    close = lambda a, b: (100 * F.least(f"{a}.n", f"{b}.n") >= per_cent * F.greatest(f"{a}.n", f"{b}.n")) & (agreeing(F.col(f"{a}.sig"), F.col(f"{b}.sig"), values) >= least)
+    least = int(values * p - 4 * (values * p * (1 - p)) ** 0.5)
+    sized = lambda a, b: 100 * F.least(f"{a}.n", f"{b}.n") >= per_cent * F.greatest(f"{a}.n", f"{b}.n")
+    close = lambda a, b: sized(a, b) & (agreeing(F.col(f"{a}.sig"), F.col(f"{b}.sig"), values) >= least)
 
     def confirm(pairs: DataFrame) -> DataFrame:
         """Of the pairs (a, b), those that are links on the full sets."""
@@ -182,34 +187,52 @@ def link(classes: DataFrame, docs: DataFrame, width: int, per_cent: int, trees:
         common = F.size(F.array_intersect("sa", "sb"))
         return both.withColumn("c", common).filter(100 * F.col("c") >= per_cent * (F.size("sa") + F.size("sb") - F.col("c"))).select("a", "b")
 
-    labels = inside.select(F.col("fp").alias("id"), F.col("fp").alias("comp"))
-    for turn in range(rounds + 1):
-        known = nodes.join(labels.withColumnRenamed("id", "fp"), "fp")
-        mixed = known.groupBy("node").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("node")
-        nodes = materialise(known.join(mixed, "node"), "members")  # nodes of one component are done
-        if nodes.isEmpty():
-            break
-        if turn < rounds:
-            # one pivot a node: the least by id first, then by other orders; each class meets its likeliest pivot
-            order = F.struct("fp") if turn == 0 else F.struct(F.xxhash64("fp", F.lit(turn)), "fp")
-            pivots = nodes.groupBy("node").agg(F.min_by(F.struct("fp", "n", "sig", "comp"), order).alias("p"))
-            met = nodes.join(pivots, "node").filter("comp <> p.comp").withColumn("x", F.struct("fp", "n", "sig"))
-            met = met.filter(close("x", "p")).withColumn("like", agreeing(F.col("sig"), F.col("p.sig"), values))
-            pairs = met.groupBy("fp").agg(F.max_by("p.fp", F.struct("like", "p.fp")).alias("b")).select(F.col("fp").alias("a"), "b")
-        else:
-            sizes = nodes.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("k"))
-            main = sizes.groupBy("node").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"))
-            rest = nodes.join(main, "node").filter("comp <> main").select("node", F.struct("fp", "n", "sig", "comp").alias("x"), "main")
-            every = nodes.select("node", F.struct("fp", "n", "sig", "comp").alias("y"))
-            apart = (F.col("x.comp") != F.col("y.comp")) & ((F.col("y.comp") == F.col("main")) | (F.col("x.fp") < F.col("y.fp")))
-            pairs = rest.join(every, "node").filter(apart & close("x", "y")).select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b")).distinct()
+    def merge(labels: DataFrame, pairs: DataFrame) -> DataFrame:
         links = materialise(confirm(pairs), "links")
+        if links.isEmpty():
+            return labels
         at = labels.select(F.col("id").alias("a"), F.col("comp").alias("ca"))
         to = labels.select(F.col("id").alias("b"), F.col("comp").alias("cb"))
-        joined = links.join(at, "a").join(to, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-        merged = components(joined).toDF("comp", "new")
-        labels = materialise(labels.join(merged, "comp", "left").select("id", F.coalesce("new", "comp").alias("comp")), "labels")
-        nodes = nodes.drop("comp")
+        merged = components(links.join(at, "a").join(to, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))).toDF("comp", "new")
+        return materialise(labels.join(merged, "comp", "left").select("id", F.coalesce("new", "comp").alias("comp")), "labels")
+
+    def apart(nodes: DataFrame, labels: DataFrame) -> DataFrame:
+        """Members of nodes of more than one component, with comp and the node's size."""
+        known = nodes.join(labels.select(F.col("id").alias("fp"), "comp"), "fp")
+        mixed = known.groupBy("node").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size")).filter("lo <> hi").select("node", "size")
+        return materialise(known.join(mixed, "node"), "members")
+
+    def to_pivots(members: DataFrame, turn: int) -> DataFrame:
+        """Pairs of each class with its likeliest pivot; a node has one, the least by an order of this turn."""
+        order = F.struct(F.xxhash64("fp", F.lit(turn)), "fp")
+        pivots = members.groupBy("node").agg(F.min_by(F.struct("fp", "n", "sig", "comp"), order).alias("p"))
+        met = members.join(pivots, "node").filter("comp <> p.comp").withColumn("x", F.struct("fp", "n", "sig")).filter(sized("x", "p"))
+        met = met.withColumn("like", agreeing(F.col("sig"), F.col("p.sig"), values)).filter(F.col("like") >= least)
+        return met.groupBy("fp").agg(F.max_by("p.fp", F.struct("like", "p.fp")).alias("b")).select(F.col("fp").alias("a"), "b")
+
+    def all_pairs(members: DataFrame) -> DataFrame:
+        """Pairs of different components of a node, one side outside its largest component."""
+        sizes = members.groupBy("node", "comp").agg(F.count(F.lit(1)).alias("k"))
+        main = sizes.groupBy("node").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"))
+        rest = members.join(main, "node").filter("comp <> main").select("node", F.struct("fp", "n", "sig", "comp").alias("x"), "main")
+        every = members.select("node", F.struct("fp", "n", "sig", "comp").alias("y"))
+        other = (F.col("x.comp") != F.col("y.comp")) & ((F.col("y.comp") == F.col("main")) | (F.col("x.fp") < F.col("y.fp")))
+        return rest.join(every, "node").filter(other & close("x", "y")).select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b")).distinct()
+
+    labels = materialise(inside.select(F.col("fp").alias("id"), F.col("fp").alias("comp")), "labels")
+    for level in range(depth + 1):
+        for turn in range(rounds):
+            members = apart(nodes, labels)
+            if members.isEmpty():
+                return labels.select(F.col("id").alias("fp"), "comp")
+            labels = merge(labels, to_pivots(members, turn + rounds * level))
+            nodes = members.drop("comp", "size")
+        members = apart(nodes, labels)
+        labels = merge(labels, all_pairs(members.filter(F.col("size") <= small) if level < depth else members))
+        large = apart(members.filter(F.col("size") > small).drop("comp", "size"), labels)
+        if level == depth or large.isEmpty():
+            break
+        nodes = materialise(branched(large, branches, values), "nodes")
     return labels.select(F.col("id").alias("fp"), "comp")
 
 
