@@ -146,6 +146,24 @@ def token_counts(rows: DataFrame) -> DataFrame:
     return rows.select("text").mapInArrow(count, "token string, c long").groupBy("token").agg(F.sum("c").alias("c"))
 
 
+def most_frequent(counts: DataFrame, most: int) -> dict[bytes, int]:
+    """At most `most` tokens with their counts, the most frequent first: all whose count lies above a cut between powers of 2^(1/8).
+
+    The cut comes from at most some 500 sums, so that neither they nor the tokens grow with the data.
+    """
+    power = F.floor(8 * F.log2("c")).cast("int")
+    sums, cut, total = counts.groupBy(power.alias("p")).agg(F.count(F.lit(1)).alias("k")).collect(), None, 0
+    for r in sorted(sums, key=lambda r: -r.p):
+        total += r.k
+        if total > most:
+            break
+        cut = r.p
+    if cut is None:
+        return {}
+    rows = counts.filter(power >= cut).collect()
+    return {r.token.encode(): r.c for r in sorted(rows, key=lambda r: (-r.c, r.token))}
+
+
 def start_model(states: int, mass: np.ndarray, seed: int = 7) -> Model:
     """Class frequencies, each state with its own seeded perturbation."""
     rng = np.random.default_rng(seed)
@@ -189,8 +207,7 @@ def score(docs: DataFrame, held_out: Column, states: int = 4, iterations: int =
     train = docs.filter(~F.col("held_out"))
     counts = materialise(token_counts(train), "counts")
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    top = counts.orderBy(F.col("c").desc(), "token").limit(frequent).collect()
-    counted = {r.token.encode(): r.c for r in top}
+    counted = most_frequent(counts, frequent)
     classes = Classes({w: i for i, w in enumerate(list(counted)[:own])} | ({END: min(own, len(counted))} if END not in list(counted)[:own] else {}), rest)
     # mass and number of the tokens of each class: frequent classes from their own counts, the others summed by suffix
     mass, kinds = np.zeros(classes.n), np.zeros(classes.n)
