@@ -173,7 +173,7 @@ def start_model(states: int, mass: np.ndarray, seed: int = 7) -> Model:
 
 
 def sequences(batch: pa.RecordBatch, column: int, known: Known) -> list[np.ndarray]:
-    return [np.array([known[w] for w in tokens(t)], np.int32) for t in batch.column(column).to_pylist()]
+    return [np.fromiter(map(known.__getitem__, ws), np.int32, len(ws)) for ws in map(tokens, batch.column(column).to_pylist())]
 
 
 def baum_welch(rows: DataFrame, model: Model, classes: Classes, smoothing: float = 0.01) -> Model:
@@ -184,8 +184,8 @@ def baum_welch(rows: DataFrame, model: Model, classes: Classes, smoothing: float
         known = Known(classes)
         first, moves, emits = np.zeros(states), np.zeros((states, states)), np.zeros((classes.n, states))
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                for _, lengths, obs in batches_of(sequences(batch.slice(at, 1000), 0, known)):
+            for at in range(0, batch.num_rows, 4000):
+                for _, lengths, obs in batches_of(sequences(batch.slice(at, 4000), 0, known), cells=1_200_000):
                     f, m, e = model.counts(lengths, obs)
                     first, moves, emits = first + f, moves + m, emits + e
         table = np.concatenate([first[None], moves, emits])
@@ -233,23 +233,31 @@ def score(docs: DataFrame, held_out: Column, states: int = 4, iterations: int =
         logs = {w: math.log10(c + 1) for w, c in counted.items()}
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, 2000):
+                part = batch.slice(at, 2000)
                 lists = [tokens(t) for t in part.column(1).to_pylist()]
-                seqs = [np.array([known[w] for w in ws], np.int32) for ws in lists]
+                seqs = [np.fromiter(map(known.__getitem__, ws), np.int32, len(ws)) for ws in lists]
                 hmm = np.zeros(len(seqs))
-                for numbers, lengths, obs in batches_of(seqs):
-                    hmm[numbers] = model.forward(lengths, obs) / math.log(10)
-                out = []
-                for i, ws in enumerate(lists):
-                    tf = Counter(ws)
-                    found = [(logs[w], k) for w, k in tf.items() if w in logs]
-                    rare = [{"token": w.decode(), "tf": k} for w, k in tf.items() if w not in logs]
-                    out.append((sum(k for _, k in found), math.fsum(x * k for x, k in found), float(hmm[i] - log_mass[seqs[i]].sum()), rare))
-                n_known, log_c, scores, rare = zip(*out, strict=True)
-                columns = [range(row, row + len(out)), part.column(0), part.column(2), [len(ws) for ws in lists], n_known, log_c, scores, rare]
-                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(list(c), f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-                row += len(out)
+                for numbers, lengths, obs in batches_of(seqs, cells=4_000_000):
+                    hmm[numbers] = model.forward(lengths, obs) / math.log(10) - np.add.reduceat(np.concatenate([log_mass[seqs[i]] for i in numbers]), np.cumsum(lengths) - lengths)
+                n_known, log_c, ends, rare, times = [], [], [0], [], []
+                for ws in lists:
+                    n, total = 0, []
+                    for w, k in Counter(ws).items():
+                        x = logs.get(w)
+                        if x is None:
+                            rare.append(w.decode())
+                            times.append(k)
+                        else:
+                            n += k
+                            total.append(x * k)
+                    n_known.append(n)
+                    log_c.append(math.fsum(total))
+                    ends.append(len(rare))
+                pairs = pa.StructArray.from_arrays([pa.array(rare, pa.string()), pa.array(times, pa.int64())], names=["token", "tf"])
+                columns = [range(row, row + len(lists)), part.column(0), part.column(2), [len(ws) for ws in lists], n_known, log_c, hmm, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)]
+                yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], names=schema.names)
+                row += len(lists)
 
     spark_schema = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, log_c double, hmm double, rare array<struct<token:string,tf:bigint>>"
     walked = materialise(docs.select(F.col("doc_id").cast("long"), "text", "held_out").mapInArrow(walk, spark_schema), "walked")
