@@ -76,7 +76,7 @@ def apply_changes(target: DataFrame, changed: DataFrame, gone: DataFrame, as_of)
     kept = latest(target).join(fresh.select("post_id"), "post_id", "left_anti").join(lost, "post_id", "left")
     mark = F.coalesce("__gone", F.lit(False))
     kept = kept.withColumns({"status": F.when(mark, "확인 필요").otherwise(F.col("status")), "collection_status": F.when(mark, "검토 필요").otherwise(F.col("collection_status")), "last_checked": F.when(mark, today).otherwise(F.col("last_checked"))})
-    return kept.unionByName(fresh).select(*target.columns)
+    return kept.drop("__gone").unionByName(fresh).select(*target.columns)
 
 
 def counters(outcomes: DataFrame) -> DataFrame:

@@ -150,7 +150,7 @@ def test_target_schema(spark):
 
 
 def test_properties_and_children(spark):
-    pages = spark.createDataFrame([("https://s.example/archives/1", PAGE.format("가" * 4000)), ("https://s.example/archives/2", "<article><h1>웹툰 공모전</h1><h3>지원 대상</h3><p>누구나</p></article>")], "url string, html string")
+    pages = spark.createDataFrame([("https://s.example/archives/1", PAGE.format("".join(f"{i:04d}" for i in range(1000)))), ("https://s.example/archives/2", "<article><h1>웹툰 공모전</h1><h3>지원 대상</h3><p>누구나</p></article>")], "url string, html string")
     found = records(pages, "2026-08-12")
     rows = {r.post_id: r for r in target.properties(found, "2026-08-12").collect()}
     assert rows["2"].target_audience == "누구나" and rows["2"].qualifications == "" and rows["1"].target_audience == ""
