@@ -24,4 +24,15 @@ def materialise(df: DataFrame, name: str = "t") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/pagewright/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._pagewright_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Deletes tables of materialise() that no plan still to run reads, so that iterations don't fill the shared folder."""
+    for df in tables:
+        if path := getattr(df, "_pagewright_path", None):
+            spark = df.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
