@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pagewright.functions.tables import materialise
+from pagewright.functions.tables import materialise, release
 
-__all__ = ["NOT_WORD", "WORD", "bind", "lower_ascii", "materialise", "read", "words"]
+__all__ = ["NOT_WORD", "WORD", "bind", "lower_ascii", "materialise", "read", "release", "words"]
 
 #: Words of every contract in this package: runs of anything but space and \t\n\v\f\r.
 WORD = r"[^\x20\x09-\x0D]+"

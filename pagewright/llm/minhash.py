@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pagewright.functions.ship import ship
-from pagewright.llm.common import materialise
+from pagewright.llm.common import materialise, release
 from pagewright.llm.url_filter import build_level
 
 WORDS_KEPT = 400_000
@@ -134,7 +134,7 @@ def components(edges: DataFrame) -> DataFrame:
     """id, comp (the smallest id reachable) of the ids in edges (a, b): alternating large and small stars until nothing changes."""
     both = lambda e: e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     e = materialise(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    before = None
+    before, e_now = None, e
     while True:
         two = both(e)
         least = two.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
@@ -142,12 +142,16 @@ def components(edges: DataFrame) -> DataFrame:
         least = e.groupBy("a").agg(F.min("b").alias("m"))
         hung = e.join(least, "a")
         e = hung.select("a", F.col("m").alias("b")).unionByName(hung.select(F.col("b").alias("a"), F.col("m").alias("b"))).filter("a <> b").distinct()  # small star
-        e = materialise(e, "edges")
+        e, last = materialise(e, "edges"), e_now
+        release(last)
+        e_now = e
         state = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             break
         before = state
-    return e.select(F.col("a").alias("id"), F.col("b").alias("comp")).unionByName(e.select(F.col("b").alias("id"), F.col("b").alias("comp")).distinct())
+    out = e.select(F.col("a").alias("id"), F.col("b").alias("comp")).unionByName(e.select(F.col("b").alias("id"), F.col("b").alias("comp")).distinct())
+    out._pagewright_path = e._pagewright_path
+    return out
 
 
 def agreeing(x: Column, y: Column, values: int) -> Column:
@@ -190,11 +194,15 @@ def link(classes: DataFrame, docs: DataFrame, width: int, per_cent: int, trees:
     def merge(labels: DataFrame, pairs: DataFrame) -> DataFrame:
         links = materialise(confirm(pairs), "links")
         if links.isEmpty():
+            release(links)
             return labels
         at = labels.select(F.col("id").alias("a"), F.col("comp").alias("ca"))
         to = labels.select(F.col("id").alias("b"), F.col("comp").alias("cb"))
-        merged = components(links.join(at, "a").join(to, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))).toDF("comp", "new")
-        return materialise(labels.join(merged, "comp", "left").select("id", F.coalesce("new", "comp").alias("comp")), "labels")
+        merged = components(links.join(at, "a").join(to, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+        renamed = labels.join(merged.toDF("comp", "new"), "comp", "left").select("id", F.coalesce("new", "comp").alias("comp"))
+        out = materialise(renamed, "labels")
+        release(links, merged, labels)
+        return out
 
     def apart(nodes: DataFrame, labels: DataFrame) -> DataFrame:
         """Members of nodes of more than one component, with comp and the node's size."""
@@ -220,19 +228,26 @@ def link(classes: DataFrame, docs: DataFrame, width: int, per_cent: int, trees:
         return rest.join(every, "node").filter(other & close("x", "y")).select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b")).distinct()
 
     labels = materialise(inside.select(F.col("fp").alias("id"), F.col("fp").alias("comp")), "labels")
+    table = nodes
     for level in range(depth + 1):
-        for turn in range(rounds):
+        for turn in range(rounds if level == 0 else 1):
             members = apart(nodes, labels)
+            release(table)
+            table, nodes = members, members.drop("comp", "size")
             if members.isEmpty():
-                return labels.select(F.col("id").alias("fp"), "comp")
+                break
             labels = merge(labels, to_pivots(members, turn + rounds * level))
-            nodes = members.drop("comp", "size")
         members = apart(nodes, labels)
+        release(table)
         labels = merge(labels, all_pairs(members.filter(F.col("size") <= small) if level < depth else members))
         large = apart(members.filter(F.col("size") > small).drop("comp", "size"), labels)
+        release(members)
         if level == depth or large.isEmpty():
+            release(large)
             break
-        nodes = materialise(branched(large, branches, values), "nodes")
+        table = nodes = materialise(branched(large, branches, values), "nodes")
+        release(large)
+        docs.sparkSession._jvm.System.gc()  # shuffle files go when the driver's garbage does
     return labels.select(F.col("id").alias("fp"), "comp")
 
 
