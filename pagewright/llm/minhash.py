@@ -272,6 +272,6 @@ def near_duplicates(docs: DataFrame, width: int = 5, per_cent: int = 80, **how)
 
 
 def keep_one(docs: DataFrame, width: int = 5, per_cent: int = 80, **how) -> DataFrame:
-    """docs without the rows that near_duplicates() drops; of rows that repeat a kept doc_id all stay."""
+    """docs without the rows that near_duplicates() drops; rows without a doc_id, and rows that repeat a kept doc_id, all stay."""
     gone = near_duplicates(docs, width, per_cent, **how).filter("not kept").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti")
