@@ -93,11 +93,12 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_
     blocks, groups = max(1, -(-n // block_rows)), max(1, -(-m // query_rows))
 
     def pack(df: DataFrame, parts: int) -> DataFrame:
-        dealt = df.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(parts))).withColumn("dim", F.size("v"))
+        dealt = df.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(parts).cast("long"))).withColumn("dim", F.size("v"))
         return dealt.groupBy("block", "dim").applyInPandas(make_block(bits), BLOCK)
 
-    data = pack(rows, blocks).withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    ask = pack(asked, groups).withColumnRenamed("block", "q").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))  # noqa: E731  keys of one type on both sides
+    data = pack(rows, blocks).withColumn("q", numbers(groups))
+    ask = pack(asked, groups).withColumnRenamed("block", "q").withColumn("block", numbers(blocks))
 
     def pair(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found = [r for _, a in left.iterrows() for _, b in right.iterrows() for r in scan(a, b, k)]

@@ -178,6 +178,15 @@ def test_local_search_improves_and_keeps_all():
 
 
 def test_topk(spark):
+    """Partitions stay apart, so that keys of both sides have to meet by their hash."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        run_topk(spark)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def run_topk(spark):
     rng = random.Random(6)
     rows = [(i, [rng.gauss(0, 0.3) for _ in range(8)]) for i in range(300)] + [(i, [0.5] * 8) for i in range(300, 360)]
     rows += [(400, None), (450, []), (451, [1.0, None]), (452, [float("nan")] * 8), (453, [float("inf")] * 8), (454, [1.0] * 3), (50, rows[50][1])]
