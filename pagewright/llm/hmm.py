@@ -3,8 +3,10 @@
 Latent states emit token classes: each of the most frequent training tokens is a class of its own,
 any other token belongs to one of a fixed number of classes by its last two characters, and the end
 is a class. Within its class a token has a smoothed relative frequency. Baum-Welch counts are summed
-over all training rows across partitions; the driver gets states x classes numbers. The scaled
-forward recursion then computes the exact probability of each text's token sequence.
+over all training rows across partitions, round by round until the likelihood of the training rows
+stops rising; the driver gets states x classes numbers a round. The first of these rounds starts from
+states that rounds over a sample of bounded size, the best of several starts, have set apart. The scaled forward recursion then
+computes the exact probability of each text's token sequence.
 
 The frequencies of all training tokens stay in a table: frequent ones, a fixed number, go to the
 workers; the others are looked up by a join on the token, so nothing that grows is broadcast.
@@ -18,7 +20,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,10 +29,14 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pagewright.functions.ship import ship
-from pagewright.llm.common import materialise
+from pagewright.llm.common import materialise, release
 
 END = b"\n"  # no word can be it
 FLUSH = 200_000
+LEAST_RISE = 1e-4  # nats a token; a round that gains less ends the training
+START_ROUNDS = 30  # at least; from the symmetric start the likelihood hardly rises at first
+START_TOKENS = 200_000
+STARTS = (7, 8, 9)  # seeds; the likeliest after its rounds is kept
 
 
 @dataclass(frozen=True)
@@ -105,7 +111,11 @@ class Model:
 
     def counts(self, lengths: np.ndarray, obs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Expected first states, moves and emissions (Baum-Welch) of one batch."""
-        _, alphas, scales, running = self.forward(lengths, obs, keep=True)
+        return self.expected(lengths, obs)[1:]
+
+    def expected(self, lengths: np.ndarray, obs: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+        """The log likelihood of one batch and its counts."""
+        total, alphas, scales, running = self.forward(lengths, obs, keep=True)
         k = len(self.first)
         moves, emits = np.zeros((k, k)), np.zeros_like(self.emit)
         gammas = [None] * len(running)
@@ -122,7 +132,7 @@ class Model:
         flat, seen = np.concatenate(gammas), np.concatenate([obs[t, :n] for t, n in enumerate(running)])
         for s in range(k):
             emits[:, s] = np.bincount(seen, flat[:, s], len(self.emit))
-        return gammas[0].sum(axis=0), moves, emits
+        return total.sum(), gammas[0].sum(axis=0), moves, emits
 
 
 def token_counts(rows: DataFrame) -> DataFrame:
@@ -176,30 +186,86 @@ def sequences(batch: pa.RecordBatch, column: int, known: Known) -> list[np.ndarr
     return [np.fromiter(map(known.__getitem__, ws), np.int32, len(ws)) for ws in map(tokens, batch.column(column).to_pylist())]
 
 
-def baum_welch(rows: DataFrame, model: Model, classes: Classes, smoothing: float = 0.01) -> Model:
-    """One iteration over all rows (text)."""
-    states = len(model.first)
+def encoded(rows: DataFrame, classes: Classes) -> DataFrame:
+    """classes: the class numbers of each row (text), in the bytes of kind_of()."""
+    kind = kind_of(classes)
 
-    def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Known(classes)
-        first, moves, emits = np.zeros(states), np.zeros((states, states)), np.zeros((classes.n, states))
         for batch in batches:
             for at in range(0, batch.num_rows, 4000):
-                for _, lengths, obs in batches_of(sequences(batch.slice(at, 4000), 0, known), cells=1_200_000):
-                    f, m, e = model.counts(lengths, obs)
-                    first, moves, emits = first + f, moves + m, emits + e
-        table = np.concatenate([first[None], moves, emits])
+                seqs = sequences(batch.slice(at, 4000), 0, known)
+                yield pa.RecordBatch.from_arrays([pa.array([s.astype(kind).tobytes() for s in seqs], pa.binary())], names=["classes"])
+
+    return rows.select("text").mapInArrow(run, "classes binary")
+
+
+def kind_of(classes: Classes) -> np.dtype:
+    return np.dtype("<u2" if classes.n <= 1 << 16 else "<u4")
+
+
+def table_of(seqs: list[np.ndarray], model: Model) -> np.ndarray:
+    """Rows of first states, moves and emissions, and a last one that begins with the log likelihood."""
+    likely, table = 0.0, np.zeros((1 + len(model.first) + len(model.emit), len(model.first)))
+    for _, lengths, obs in batches_of(seqs, cells=1_200_000):
+        total, first, moves, emits = model.expected(lengths, obs)
+        likely, table = likely + total, table + np.concatenate([first[None], moves, emits])
+    return np.concatenate([table, [[likely] + [0.0] * (len(model.first) - 1)]])
+
+
+def estimated(table: np.ndarray, states: int, smoothing: float = 0.01) -> Model:
+    table = table[:-1] + smoothing
+    first, move, emit = table[0], table[1 : 1 + states], table[1 + states :]
+    return Model(first / first.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+
+
+def over_all(coded: DataFrame, model: Model, classes: Classes) -> np.ndarray:
+    """table_of() all rows (classes)."""
+    kind = kind_of(classes)
+
+    def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = table_of([], model)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4000):
+                table += table_of([np.frombuffer(x, kind) for x in batch.column(0).slice(at, 4000).to_pylist()], model)
         at, k = np.nonzero(table)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(k, pa.int32()), pa.array(table[at, k])], names=["row", "state", "n"])
 
-    table = np.full((1 + states + classes.n, states), smoothing)
-    for r in rows.select("text").mapInArrow(expect, "row int, state int, n double").groupBy("row", "state").agg(F.sum("n").alias("n")).collect():
+    table = table_of([], model)
+    for r in coded.mapInArrow(expect, "row int, state int, n double").groupBy("row", "state").agg(F.sum("n").alias("n")).collect():
         table[r.row, r.state] += r.n
-    first, move, emit = table[0], table[1 : 1 + states], table[1 + states :]
-    return Model(first / first.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
+    return table
+
+
+def baum_welch(model: Model, expect: Callable[[Model], np.ndarray], n: float, at_least: int = 1) -> tuple[Model, list[float]]:
+    """Rounds over n tokens until their log likelihood a token stops rising, after at_least rounds; expect gives a model's table_of(). Also that likelihood at each round."""
+    likely: list[float] = []
+    while True:
+        table = expect(model)
+        likely.append(table[-1, 0] / n)
+        if len(likely) > at_least and likely[-1] - likely[-2] < LEAST_RISE:
+            return model, likely
+        model = estimated(table, len(model.first))
+
+
+def trained(train: DataFrame, states: int, mass: np.ndarray, classes: Classes, n: int) -> Model:
+    """The model of Baum-Welch over all rows of train (text), which have n tokens."""
+    coded = materialise(encoded(train, classes), "classes")
+    some = coded
+    if n > START_TOKENS:
+        some = coded.filter(F.pmod(F.xxhash64("classes"), F.lit(1 << 30)) < int((1 << 30) * START_TOKENS / n))
+    # distinct, so that a large group of copies can't all be in the sample
+    seqs = [np.frombuffer(x, kind_of(classes)) for x in sorted(bytes(r.classes) for r in some.distinct().collect())]
+    model = start_model(states, mass)
+    if seqs:
+        tried = [baum_welch(start_model(states, mass, seed), lambda m: table_of(seqs, m), sum(map(len, seqs)), START_ROUNDS) for seed in STARTS]
+        model, _ = max(tried, key=lambda x: x[1][-1])
+    model, _ = baum_welch(model, lambda m: over_all(coded, m, classes), n, 1 if seqs else START_ROUNDS)
+    release(coded)
+    return model
 
 
-def score(docs: DataFrame, held_out: Column, states: int = 4, iterations: int = 2, own: int = 2000, rest: int = 1024, frequent: int = 150_000) -> DataFrame:
+def score(docs: DataFrame, held_out: Column, states: int = 4, own: int = 2000, rest: int = 1024, frequent: int = 150_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of each row of docs (doc_id, text); rows not held out train."""
     spark = docs.sparkSession
     ship(spark)
@@ -220,9 +286,7 @@ def score(docs: DataFrame, held_out: Column, states: int = 4, iterations: int =
         if w in counted:
             i = len(classes.own) + zlib.crc32(w.decode()[-2:].encode()) % rest
             mass[i], kinds[i] = mass[i] - counted[w], kinds[i] - 1
-    model = start_model(states, mass)
-    for _ in range(iterations if n else 0):
-        model = baum_welch(train, model, classes)
+    model = trained(train, states, mass, classes, n) if n else start_model(states, mass)
     log_mass, base = np.log10(mass + kinds + 1), math.log10(max(1, n + v + 1))
     shared = spark.sparkContext.broadcast(counted)  # `frequent` tokens at most
 

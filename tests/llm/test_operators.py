@@ -273,6 +273,22 @@ def test_hmm_scores(spark):
     assert hmm.score(docs(spark, []), held).count() == 0
 
 
+def test_hmm_states_are_trained(spark):
+    """Held-out texts of an alternating language: what is next follows from the state, which a class unigram can't tell."""
+    rng = random.Random(3)
+    kinds = [[f"{k}{i}" for i in range(30)] for k in "abcd"]
+    asked = docs(spark, [" ".join(rng.choice(kinds[(i + j) % 4]) for j in range(60)) for i in range(120)])
+    per_token = lambda states: hmm.score(asked, F.col("doc_id") % 7 == 2, states=states).filter("held_out").agg(F.sum("score") / F.sum("n_tokens")).first()[0]
+    assert per_token(4) > per_token(1) + 0.2  # log10; one state is the class unigram
+
+
+def test_hmm_rounds_end_when_likelihood_does(spark):
+    rng = np.random.default_rng(5)
+    seqs = [np.concatenate([rng.integers(3 * (j % 2), 3 * (j % 2) + 3, 1) for j in range(40)]) for _ in range(60)]
+    model, likely = hmm.baum_welch(hmm.start_model(2, np.full(6, 400.0)), lambda m: hmm.table_of(seqs, m), 2400, hmm.START_ROUNDS)
+    assert len(likely) > hmm.START_ROUNDS and likely[-1] - likely[-2] < hmm.LEAST_RISE and all(b - a > -1e-3 for a, b in zip(likely, likely[1:]))
+
+
 def test_url_filter(spark):
     rules = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/")]
     urls = [None, "", "x", "http://A.Example.NET/en/1?x=/de/", "http://example.net/eng", "http://example.net", "ftp://example.com/de/#a", "http://myexample.com/de/", "https://net/"]
