@@ -3,9 +3,10 @@
 Documents with the same shingle set form a class, known by a 128-bit fingerprint; only classes are
 joined. Each class has `3 * trees` minwise values. Every tree sends it to the node that three of
 them select; nodes with more than `small` classes branch, each class into `branches` children by
-three further values chosen by the node's path, level by level; smaller nodes are compared
-exhaustively. Independent trees bring the recall of a pair at similarity s to
-1 - (1 - s^3)^trees where its nodes are small.
+three values chosen by the node's path among minwise values that are fresh at each level; smaller
+nodes are compared exhaustively. Independent trees bring the recall of a pair at similarity s to
+1 - (1 - s^3)^trees where its nodes are small. Where they branch, a pair stays together in a branching
+with branches * s^3 expected children a level, over 1.5 at s = 0.8, so that it rarely dies out.
 
 The comparison in the nodes stops at connectivity: before the exhaustive step each class meets a
 pivot of its nodes, links that hold on the full sets merge components, and a node of a single
@@ -123,11 +124,24 @@ def shared(nodes: DataFrame) -> DataFrame:
     return nodes.join(several, "node")
 
 
+def fresh_values(sets: DataFrame, level: int, values: int) -> DataFrame:
+    """fp, fresh: minwise values of the sets (fp, s) that no other level has."""
+    seeds = np.random.default_rng([11, level]).integers(1, 1 << 63, values, dtype=np.uint64) | np.uint64(1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            flat, ends = lists.values.to_numpy(zero_copy_only=False).view(np.uint64), lists.offsets.to_numpy()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([minwise(flat[a:b], seeds) for a, b in zip(ends, ends[1:])], pa.binary())], names=["fp", "fresh"])
+
+    return sets.select("fp", "s").mapInArrow(run, "fp binary, fresh binary")
+
+
 def branched(nodes: DataFrame, branches: int, values: int) -> DataFrame:
-    """The children of nodes, each chosen by three further values that follow from the node's path."""
+    """The children of nodes (with fresh), each chosen by three fresh values that follow from the node's path."""
     child = F.explode(F.sequence(F.lit(0), F.lit(branches - 1)))
     chosen = [F.pmod(F.xxhash64("node", "child", F.lit(k)), F.lit(values)).cast("int") for k in range(3)]
-    return shared(nodes.withColumn("child", child).select("fp", "n", "sig", F.xxhash64("node", "child", triple(F.col("sig"), chosen)).alias("node")))
+    return shared(nodes.withColumn("child", child).select("fp", "n", "sig", F.xxhash64("node", "child", triple(F.col("fresh"), chosen)).alias("node")))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -160,7 +174,7 @@ def agreeing(x: Column, y: Column, values: int) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.lit(values - 1)), F.lit(0), lambda acc, i: acc + equal(i))
 
 
-def link(classes: DataFrame, docs: DataFrame, width: int, per_cent: int, trees: int = 16, small: int = 32, branches: int = 2, depth: int = 8, rounds: int = 2) -> DataFrame | None:
+def link(classes: DataFrame, docs: DataFrame, width: int, per_cent: int, trees: int = 16, small: int = 64, branches: int = 3, depth: int = 8, rounds: int = 2) -> DataFrame | None:
     """fp, comp of every class in a node with another; None if there is none. classes: fp, n, sig, doc_id of one row.
 
     A level: `rounds` times each class meets one pivot of its nodes; then nodes of at most `small`
@@ -245,8 +259,9 @@ def link(classes: DataFrame, docs: DataFrame, width: int, per_cent: int, trees:
         if level == depth or large.isEmpty():
             release(large)
             break
-        table = nodes = materialise(branched(large, branches, values), "nodes")
-        release(large)
+        fresh = materialise(fresh_values(sets.join(large.select("fp").distinct(), "fp", "left_semi"), level, values), "fresh")
+        table = nodes = materialise(branched(large.join(fresh, "fp"), branches, values), "nodes")
+        release(large, fresh)
         docs.sparkSession._jvm.System.gc()  # shuffle files go when the driver's garbage does
     return labels.select(F.col("id").alias("fp"), "comp")
 

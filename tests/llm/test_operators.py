@@ -1,6 +1,7 @@
 """Small cases of each operator: nulls, empty and long texts, ties, repeated rows, empty tables, clashing names; and brute force."""
 
 import hashlib
+import inspect
 import itertools
 import math
 import random
@@ -86,6 +87,26 @@ def test_near_duplicates_equal_brute_force(spark):
     assert [r.kept for r in got] == [i == c for i, c in enumerate(comp)]
 
 
+def family(size):
+    """Texts at 0.71 to each other by a common template, and each at 0.80 to one other: one by one, sets of 100 words, threshold included."""
+    pairs = []
+    for i in range(size // 2):
+        both = [f"t{j}" for j in range(83)] + [f"p{i}-{j}" for j in range(6)]
+        pairs += [" ".join(both + [f"u{i}-{k}-{j}" for j in range(11)]) for k in range(2)]
+    return pairs
+
+
+def test_branching_keeps_pairs_together(spark):
+    """Production parameters; three levels, where nodes of 300 would already be compared."""
+    branches = inspect.signature(minhash.link).parameters["branches"].default
+    asked = docs(spark, family(300))
+    nodes, sets = minhash.roots(minhash.sketches(asked, 1, 48), 16), minhash.full_sets(asked, 1)
+    for level in range(3):
+        nodes = minhash.materialise(minhash.branched(nodes.join(minhash.fresh_values(sets, level, 48), "fp"), branches, 48), "nodes")
+    ids = nodes.join(minhash.sketches(asked, 1, 48).select("doc_id", "fp"), "fp").select("node", F.floor(F.col("doc_id") / 2).alias("pair"))
+    assert ids.groupBy("node", "pair").count().filter("count = 2").select("pair").distinct().count() == 150
+
+
 def test_near_duplicates_without_links(spark):
     assert minhash.near_duplicates(docs(spark, [])).count() == 0
     got = minhash.near_duplicates(docs(spark, [None, "", "a b"])).orderBy("doc_id").collect()
