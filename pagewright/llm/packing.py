@@ -4,7 +4,9 @@ Documents are tokenised and closed with an end id; only those longer than a sequ
 full pieces, the first of which may be shorter. Full pieces are sequences already. The others are
 dealt evenly into blocks of `block_rows` pieces; each block is packed best fit first, largest first,
 and then improved: between underfull bins documents are moved, exchanged one for one or two for one
-wherever that raises the sum of squared fills, until nothing improves; bins that empty go.
+wherever that raises the sum of squared fills, until a pass finds nothing or 8 passes are done; bins
+that empty go. The search is bounded: it tries the 16 smallest items of a bin, at most 9 items of a
+size, and for two-for-one one pair an item.
 
 Defined results: null and empty texts are one end id; repeated rows are packed each; null doc_ids
 stay; an empty table gives an empty result; extra columns are ignored.
