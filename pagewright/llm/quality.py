@@ -1,8 +1,9 @@
 """Quality rules: a threshold table compiled into one projection of length, symbol, stop-word and line ratios.
 
-Defined results: null or empty text has no words and fails; repeated rows are judged one by one;
-extra columns pass through untouched; an empty table gives an empty table. The verdict of a row
-depends on that row alone, so there is no shuffle.
+Defined results: null or empty text has no words and fails; texts of any length are judged whole;
+repeated rows are judged one by one; a ratio that equals its threshold passes; an empty table gives an
+empty table. Extra columns pass through; judge() replaces those that have the name of a column it adds,
+keep_good() none. The verdict of a row depends on that row alone, so there is no shuffle.
 """
 
 from __future__ import annotations
@@ -70,42 +71,56 @@ def repeated_window_words(ws: Column, width: int = 5) -> Column:
     return F.when(F.size(ws) < width + 1, F.lit(0)).otherwise(bind(hashes, repeats)).cast("long")
 
 
-def metrics(text: Column) -> dict[str, Column]:
-    """The counted columns by name; `__words` has to be there already as an array column."""
-    t = F.coalesce(text, F.lit(""))
-    lines = F.filter(F.split(t, "\n", -1), lambda x: x.rlike(WORD))
-    stop = F.array(*[F.lit(w) for w in dict.fromkeys(STOP_WORDS)])
-    return {
-        "n_words": F.size("__words").cast("long"),
-        "word_chars": F.length(F.regexp_replace(t, NOT_WORD, "")).cast("long"),
-        "n_symbols": (F.length(t) - F.length(F.translate(t, "#*$%&|<>", ""))).cast("long"),
-        "n_lines": F.size(lines).cast("long"),
-        "n_dup_lines": bind(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
-        "n_stop_words": F.size(F.filter("__words", lambda w: F.lower(w).isin(*dict.fromkeys(STOP_WORDS)))).cast("long"),
-        "n_repeat_words": repeated_window_words(F.col("__words")),
-    }
-
-
-def passes(rules: tuple[Rule, ...] = RULES) -> Column:
-    """The threshold table as one boolean column over the metric columns."""
-    ok = F.lit(True)
+def counted(text: Column) -> Column:
+    """struct of the counts of a text. One bound expression, so that its words are split once wherever the optimiser puts it."""
+
+    def over(t: Column) -> Column:
+        lines = F.filter(F.split(t, "\n", -1), lambda x: x.rlike(WORD))
+        return bind(words(t), lambda ws: bind(lines, lambda ls: counts(t, ws, ls)))
+
+    def counts(t: Column, ws: Column, ls: Column) -> Column:
+        found = {
+            "n_words": F.size(ws),
+            "word_chars": F.length(F.regexp_replace(t, NOT_WORD, "")),
+            "n_symbols": F.length(t) - F.length(F.translate(t, "#*$%&|<>", "")),
+            "n_lines": F.size(ls),
+            "n_dup_lines": F.size(ls) - F.size(F.array_distinct(ls)),
+            "n_stop_words": F.size(F.filter(ws, lambda w: F.lower(w).isin(*dict.fromkeys(STOP_WORDS)))),
+            "n_repeat_words": repeated_window_words(ws),
+        }
+        return F.struct(*[x.cast("long").alias(name) for name, x in found.items()])
+
+    return bind(F.coalesce(text, F.lit("")), over)
+
+
+COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_stop_words", "n_repeat_words")
+
+
+def base_failed(m: Column) -> Column:
+    return (m["n_words"] < 10) | (100 * m["n_repeat_words"] > 20 * m["n_words"])
+
+
+def passes(m: Column, rules: tuple[Rule, ...] = RULES) -> Column:
+    """The threshold table as one boolean column over the struct of counts."""
+    ok = ~base_failed(m)
     for r in rules:
-        scaled = F.col(r.metric) * 1000
+        scaled = m[r.metric] * 1000
         if r.least is not None:
-            ok = ok & (scaled >= F.col(r.base) * round(1000 * r.least))
+            ok = ok & (scaled >= m[r.base] * round(1000 * r.least))
         if r.most is not None:
-            ok = ok & (scaled <= F.col(r.base) * round(1000 * r.most))
+            ok = ok & (scaled <= m[r.base] * round(1000 * r.most))
     return ok
 
 
 def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """docs with the metric columns, base_failed and kept added. Own columns of docs with those names are replaced."""
-    counted = docs.withColumn("__words", words(F.col(text))).withColumns(metrics(F.col(text))).drop("__words")
-    base = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return counted.withColumn("base_failed", base).withColumn("kept", ~F.col("base_failed") & passes(rules))
+    """docs with the counts, base_failed and kept added. Own columns of docs with those names are replaced."""
+    verdict = bind(counted(F.col(f"`{text}`")), lambda m: F.struct(*[m[c].alias(c) for c in COUNTS], base_failed(m).alias("base_failed"), passes(m, rules).alias("kept")))
+    added = [*COUNTS, "base_failed", "kept"]
+    own = [F.col(f"`{c}`") for c in docs.columns if c not in added]
+    got = docs.select(F.struct(*own).alias("__row"), verdict.alias("__verdict"))
+    return got.select("__row.*", *[F.col(f"__verdict.{c}").alias(c) for c in added])
 
 
 def keep_good(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The rows of docs that judge() keeps, with the columns of docs only."""
-    source = docs.withColumn("__row", F.struct(*[F.col(f"`{c}`") for c in docs.columns])).select("__row", F.col(f"`{text}`").alias("text"))
-    return judge(source, "text", rules).filter("kept").select("__row.*")
+    """The rows of docs that judge() keeps, with the columns of docs, whatever their names."""
+    return docs.filter(bind(counted(F.col(f"`{text}`")), lambda m: passes(m, rules)))
