@@ -57,7 +57,7 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     train = docs.filter(langid.fold(F.col("doc_id"), 5) != 0).select("text", "lang")
     held_out = F.coalesce(langid.fold(F.col("doc_id"), 5) == 0, F.lit(False))
     asked = docs.select("doc_id", held_out.alias("held_out"), "text")
-    return langid.predict(asked, pieces, langid.train(train, pieces)).drop("text")
+    return langid.predict(asked, pieces, langid.train(train, pieces), keep=["doc_id", "held_out"])
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
