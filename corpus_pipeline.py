@@ -8,8 +8,14 @@ the columns of documents. A stage works on all rows that the one before kept:
 * language_id learns from the rows with a language and drops documents without a letter and those
   that fit no language better than the others together (posterior under `LEAST_POSTERIOR`);
 * line_dedup removes repeated three-line windows and sets n_chars to the new length;
-* near_dedup keeps the smallest doc_id of each group of near copies (five words, 0.8);
+* near_dedup keeps one row, that of the smallest doc_id, of each group of near copies (five words, 0.8);
 * packing returns the pieces and their places.
+
+Defined results: null and empty texts, and those without a word, are rejected by the first stage, and
+by the second if it is run alone; texts of any length are worked on whole; rows repeated with id and
+text are judged alike by the first three stages and are one row after near_dedup; ties go to the
+smaller doc_id, null ids last; an empty table gives an empty one from every stage; extra columns pass
+through all stages but the last unchanged, whatever their names (only n_chars is set anew).
 """
 
 from __future__ import annotations
@@ -30,17 +36,18 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers as tokens
 
     pieces = langid.load_pieces(tokens.path("piece_bpe_32k.model"))
-    judged = langid.predict(docs, pieces, langid.train(docs.select("text", "lang"), pieces))
-    return judged.filter((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_POSTERIOR)).select(*docs.columns)
+    judged = langid.predict(docs, pieces, langid.train(docs.select("text", "lang"), pieces), added=("__lang", "__score"))
+    kept = judged.filter((F.col("__lang") != "und") & (F.col("__score") >= LEAST_POSTERIOR))
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    got = line_dedup.without_repeats(docs).withColumn("n_chars", F.length("text").cast("long"))
-    return got.select(*docs.columns)
+    got = line_dedup.first_only(docs)
+    return got.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else got
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minhash.keep_one(docs, width=5, per_cent=80).select(*docs.columns)
+    return minhash.keep_one(docs, width=5, per_cent=80)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
