@@ -267,13 +267,13 @@ def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFr
         ranks = shared.value
         find, store, pieces = regex.compile(pattern).findall, Distinct(ranks), {i: t for t, i in ranks.items()}
         sha = lambda b: hashlib.sha256(b).hexdigest()
-        for batch in batches:
+        for part in (batch.slice(at, 500) for batch in batches for at in range(0, batch.num_rows, 500)):
             n, packed, decoded = [], [], []
-            for text in batch.column(1).to_pylist():
+            for text in part.column(1).to_pylist():
                 ids = b"".join(map(store.__getitem__, find(text or "")))
                 n.append(len(ids) // 4)
                 packed.append(sha(ids))
                 decoded.append(sha(b"".join(map(pieces.__getitem__, np.frombuffer(ids, "<u4").tolist()))))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(packed, pa.string()), pa.array(decoded, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(packed, pa.string()), pa.array(decoded, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

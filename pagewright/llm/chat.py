@@ -9,11 +9,16 @@ Template, per turn: `<turn:ROLE>TEXT</turn>` and a line feed. Inside roles and t
 become `\\b`, `\\l` and `\\g`, so no control string can occur there; read_back() undoes it.
 
 Defined results: null text and role are empty; null turns come first; rows that repeat are turns of
-their own; rows of one turn number are ordered by role, then text; a null conv_id is one conversation.
+their own; rows of one turn number are ordered by role, then text; a null conv_id is one conversation;
+a node whose parent is not in its conversation is a root; nodes that answer each other in a circle
+hang from no root and are on no path; texts of any length are taken whole; an empty table gives an
+empty result; extra columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from pagewright.llm.common import materialise
@@ -54,35 +59,35 @@ def runs_of(tree: DataFrame) -> DataFrame:
     return kids.withColumn("__on", goes_on).withColumn("head", head).drop("__kids", "__on")
 
 
-def paths(tree: DataFrame, top: int = 1, max_rounds: int = 10_000) -> DataFrame:
+def paths(tree: DataFrame, top: int = 1) -> DataFrame:
     """The `top` best root-to-leaf paths of each conversation: conv, rank, at (place on the path), head (run id).
 
     A path scores the sum of its nodes; ties go to the smaller leaf id. Each round joins the open
-    paths to their child runs and ends when no run has children.
+    paths to their child runs; the rounds end when no run has children.
     """
     runs = tree.groupBy("conv", "head").agg(F.max("node").alias("tail"), F.sum("score").alias("score"), F.min_by("parent", "node").alias("parent"))
     runs = materialise(runs, "runs")
-    inner = runs.filter("parent is not null").select(F.col("conv").alias("c"), F.col("head").alias("kid"), F.col("tail").alias("kid_tail"), F.col("score").alias("kid_score"), "parent")
-    open_ = runs.filter("parent is null").select("conv", F.array("head").alias("heads"), "tail", "score")
-    done = None
-    for _ in range(max_rounds):
-        joined = open_.join(inner, open_["conv"].eqNullSafe(inner["c"]) & (open_["tail"] == inner["parent"]), "left")
-        leaves = joined.filter("kid is null").select("conv", "heads", "tail", "score")
-        done = leaves if done is None else done.unionByName(leaves)
+    ends = runs.select(F.col("conv").alias("c"), F.col("tail").alias("end"))
+    below = runs.filter("parent is not null").join(ends, F.col("conv").eqNullSafe(F.col("c")) & (F.col("parent") == F.col("end")), "left").drop("c")
+    top_runs = runs.filter("parent is null").unionByName(below.filter("end is null").drop("end"))
+    inner = below.filter("end is not null").select(F.col("conv").alias("c"), F.col("head").alias("kid"), F.col("tail").alias("kid_tail"), F.col("score").alias("kid_score"), F.col("end").alias("parent"))
+    open_ = top_runs.select("conv", F.array("head").alias("heads"), "tail", "score")
+    done = []
+    if inner.isEmpty():
+        done, open_ = [open_], None
+    while open_ is not None:
+        joined = materialise(open_.join(inner, open_["conv"].eqNullSafe(inner["c"]) & (open_["tail"] == inner["parent"]), "left"), "paths")
+        done.append(joined.filter("kid is null").select("conv", "heads", "tail", "score"))
         grown = joined.filter("kid is not null").select("conv", F.concat("heads", F.array("kid")).alias("heads"), F.col("kid_tail").alias("tail"), (F.col("score") + F.col("kid_score")).alias("score"))
-        if inner.isEmpty():
-            break
-        open_ = materialise(grown, "paths")
-        if open_.isEmpty():
-            break
+        open_ = None if grown.isEmpty() else grown
     rank = F.row_number().over(W.partitionBy("conv").orderBy(F.col("score").desc(), "tail"))
-    best = done.withColumn("rank", rank).filter(F.col("rank") <= top)
+    best = reduce(DataFrame.unionByName, done).withColumn("rank", rank).filter(F.col("rank") <= top)
     return best.select("conv", "rank", F.posexplode("heads").alias("at", "head"))
 
 
 def format_paths(tree: DataFrame, top: int = 1) -> DataFrame:
     """One row per chosen path: conv, rank, formatted."""
-    tree = runs_of(tree)
+    tree = runs_of(tree.select("conv", "node", "parent", "role", "text", "score"))
     chosen = paths(tree, top).withColumnRenamed("conv", "c").withColumnRenamed("head", "h")
     on = tree["conv"].eqNullSafe(chosen["c"]) & (tree["head"] == chosen["h"])
     turns = tree.join(chosen, on).select("conv", "rank", F.struct("at", "node", "role", "text").alias("t"))

@@ -12,7 +12,9 @@ The frequencies of all training tokens stay in a table: frequent ones, a fixed n
 workers; the others are looked up by a join on the token, so nothing that grows is broadcast.
 
 Tokens are words, A-Z lower-cased, then one end. Defined results: null and empty texts are the end
-alone; repeated rows are scored each; without training rows N and V are 0, every token is unknown.
+alone; repeated rows are scored each; which of equally frequent tokens count as
+frequent follows from their hash; texts of any length are scored whole; without training rows N and V are 0, every token
+is unknown; an empty table gives an empty result; extra columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -147,8 +149,9 @@ def token_counts(rows: DataFrame) -> DataFrame:
             return got
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                seen.update(tokens(text))
+            for at in range(0, batch.num_rows, 500):
+                for text in batch.column(0).slice(at, 500).to_pylist():
+                    seen.update(tokens(text))
                 if len(seen) > FLUSH:
                     yield out()
         yield out()
@@ -157,20 +160,29 @@ def token_counts(rows: DataFrame) -> DataFrame:
 
 
 def most_frequent(counts: DataFrame, most: int) -> dict[bytes, int]:
-    """At most `most` tokens with their counts, the most frequent first: all whose count lies above a cut between powers of 2^(1/8).
+    """At most `most` tokens with their counts, the most frequent first.
 
-    The cut comes from at most some 500 sums, so that neither they nor the tokens grow with the data.
+    All above a cut between powers of 2^(1/8), and of the band below it those of the first of 4096 hash
+    buckets, as many as fit. Both cuts come from a bounded number of sums, so that neither they nor the
+    tokens that reach the driver grow with the data.
     """
-    power = F.floor(8 * F.log2("c")).cast("int")
-    sums, cut, total = counts.groupBy(power.alias("p")).agg(F.count(F.lit(1)).alias("k")).collect(), None, 0
-    for r in sorted(sums, key=lambda r: -r.p):
-        total += r.k
-        if total > most:
-            break
-        cut = r.p
-    if cut is None:
-        return {}
-    rows = counts.filter(power >= cut).collect()
+
+    def cut(df: DataFrame, key: Column, room: int) -> tuple[int | None, int]:
+        """The last key up to which, in order, all rows have room, and the room left."""
+        last = None
+        for r in sorted(df.groupBy(key.alias("k")).agg(F.count(F.lit(1)).alias("n")).collect(), key=lambda r: r.k):
+            if r.n > room:
+                break
+            last, room = r.k, room - r.n
+        return last, room
+
+    band, bucket = -F.floor(8 * F.log2("c")).cast("int"), F.pmod(F.xxhash64("token"), F.lit(4096)).cast("int")
+    first, room = cut(counts, band, most)
+    above = F.lit(False) if first is None else band <= first
+    below = counts.filter(~above)
+    edge = below.agg(F.min(band)).first()[0]
+    last = None if edge is None else cut(below.filter(band == edge), bucket, room)[0]
+    rows = counts.filter(above if last is None else above | ((band == edge) & (bucket <= last))).collect()
     return {r.token.encode(): r.c for r in sorted(rows, key=lambda r: (-r.c, r.token))}
 
 

@@ -2,7 +2,7 @@
 
 The lines of a text that hold a word, trimmed of spaces, are numbered; every three consecutive ones
 form a window, known by a 128-bit hash. A window's first occurrence is the one in the smallest
-(doc_id, text hash, position). All lines that any later occurrence covers go, overlapping
+(doc_id, text hash, position), null ids last. All lines that any later occurrence covers go, overlapping
 occurrences merging; everything else stays as it was, blank lines and line order included.
 
 Windows are made, counted and looked up natively: the window hashes are shuffled twice, the texts
@@ -11,7 +11,9 @@ once. Joins on a window that a large share of the rows hold are split by AQE.
 Defined results: null texts stay null; texts of fewer than three lines with words have no window and
 stay; rows repeated with id and text count as one document and are treated alike; where occurrences
 of one window overlap in a text, the lines before the second one stay; documents all of whose lines
-go keep an empty text (or their blank lines); extra columns pass through.
+go keep an empty text (or their blank lines); texts of any length are taken whole; an empty table
+gives an empty result. Extra columns pass through; without_repeats() replaces those that have the name
+of a column it adds, first_only() none.
 """
 
 from __future__ import annotations
@@ -46,7 +48,7 @@ def windows(docs: DataFrame, width: int = WINDOW) -> DataFrame:
 def later_windows(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     """doc_id, th, starts: the windows of each document that occurred before."""
     every = windows(docs, width)
-    place = F.struct("doc_id", "th", "pos")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th", "pos")
     first = every.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first <> last").select("h1", "h2", "first")
     later = every.join(first, ["h1", "h2"]).filter(~place.eqNullSafe(F.col("first")))
     return later.groupBy("doc_id", "th").agg(F.array_sort(F.collect_set("pos")).alias("starts"))
@@ -64,3 +66,11 @@ def without_repeats(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     kept = F.array_except(F.sequence(F.lit(0), F.size("__all") - 1), places)
     left = F.array_join(F.transform(kept, lambda i: F.get("__all", i)), "\n")
     return both.withColumn("text", F.when(F.col("__gone").isNotNull(), left).otherwise(F.col("text"))).drop("__starts", "__lines", "__gone", "__all")
+
+
+def first_only(docs: DataFrame, width: int = WINDOW) -> DataFrame:
+    """docs with `text` rid of repeated windows, all columns kept whatever their names."""
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    held = docs.select("doc_id", "text", F.struct(F.lit(0).alias("__none"), *[F.col(f"`{c}`") for c in rest]).alias("__rest"))
+    got = without_repeats(held, width)
+    return got.select(*[F.col(c) if c in ("doc_id", "text") else F.col("__rest")[c].alias(c) for c in docs.columns])

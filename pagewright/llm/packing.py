@@ -3,13 +3,15 @@
 Documents are tokenised and closed with an end id; only those longer than a sequence are cut, into
 full pieces, the first of which may be shorter. Full pieces are sequences already. The others are
 dealt evenly into blocks of `block_rows` pieces; each block is packed best fit first, largest first,
-and then improved: between underfull bins documents are moved, exchanged one for one or two for one
-wherever that raises the sum of squared fills, until a pass finds nothing or 8 passes are done; bins
-that empty go. The search is bounded: it tries the 16 smallest items of a bin, at most 9 items of a
-size, and for two-for-one one pair an item.
-
-Defined results: null and empty texts are one end id; repeated rows are packed each; null doc_ids
-stay; an empty table gives an empty result; extra columns are ignored.
+and then improved: between underfull bins pieces are moved, exchanged one for one or two for one, each
+step only if it raises the sum of squared fills, until no step is left; bins that empty go. A step fills
+one bin: for every size the piece in the emptiest other bin is tried, for two-for-one every first size
+with the largest second that gains.
+
+Defined results: null and empty texts are one end id; texts of any length are cut and packed whole;
+repeated rows are packed each; pieces of equal size are interchangeable, and which goes where is not
+defined; null doc_ids stay; an empty table gives an empty result; extra columns, whatever their names,
+are ignored.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heappop, heappush
 
 import numpy as np
 import pandas as pd
@@ -127,76 +130,113 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def improve(bins: list[list[int]], sizes: list[int], capacity: int, passes: int = 8) -> list[list[int]]:
-    """Local search between underfull bins; every step raises the sum of squared fills."""
+class Bins:
+    """Underfull bins: where each item lies, and for each size the item in the emptiest bin."""
+
+    def __init__(self, bins: list[list[int]], sizes: list[int], capacity: int) -> None:
+        self.items, self.sizes, self.capacity = bins, sizes, capacity
+        self.fill = [sum(sizes[i] for i in items) for items in bins]
+        self.at = {i: b for b, items in enumerate(bins) for i in items}
+        self.by_size: dict[int, list[tuple[int, int]]] = defaultdict(list)  # heaps of (fill when put there, item)
+        self.there = 0  # bit s: items of size s may lie in underfull bins
+        for b in range(len(bins)):
+            self.tell(b)
+
+    def tell(self, b: int) -> None:
+        """Puts the items of b in the heaps with its present fill; a full bin is left alone from then on."""
+        if self.fill[b] < self.capacity:
+            for i in self.items[b]:
+                heappush(self.by_size[self.sizes[i]], (self.fill[b], i))
+                self.there |= 1 << self.sizes[i]
+
+    def emptiest(self, s: int, *but: int, bin_: int) -> int | None:
+        """The item of size s in the emptiest bin other than bin_, and none of `but`."""
+        heap, aside, found = self.by_size[s], [], None
+        while heap:
+            fill, i = heap[0]
+            if self.fill[self.at[i]] != fill or fill == self.capacity:
+                heappop(heap)
+            elif self.at[i] == bin_ or i in but:
+                aside.append(heappop(heap))
+            else:
+                found = i
+                break
+        for x in aside:
+            heappush(heap, x)
+        if not heap:
+            self.there &= ~(1 << s)
+        return found
+
+    def largest(self, most: int, above: int, *but: int, bin_: int, gains) -> int | None:
+        """An item over `above` and of at most `most`, the largest of those for which gains(item) holds; of a size the one in the emptiest bin."""
+        found = self.there & ((1 << (most + 1)) - 1) if most > 0 else 0
+        while found:
+            s = found.bit_length() - 1
+            if s <= above:
+                return None
+            i = self.emptiest(s, *but, bin_=bin_)
+            if i is not None and gains(i):
+                return i
+            found ^= 1 << s
+        return None
+
+    def gain(self, moves: list[tuple[int, int]]) -> int:
+        """By how much moves (item, new bin) raise the sum of squared fills; -1 if a bin overflows."""
+        change: dict[int, int] = defaultdict(int)
+        for i, b in moves:
+            change[self.at[i]] -= self.sizes[i]
+            change[b] += self.sizes[i]
+        if any(self.fill[b] + d > self.capacity for b, d in change.items()):
+            return -1
+        return sum(d * (2 * self.fill[b] + d) for b, d in change.items())
+
+    def move(self, moves: list[tuple[int, int]]) -> None:
+        touched = {b for _, b in moves} | {self.at[i] for i, _ in moves}
+        for i, b in moves:
+            self.items[self.at[i]].remove(i)
+            self.fill[self.at[i]] -= self.sizes[i]
+            self.items[b].append(i)
+            self.fill[b] += self.sizes[i]
+            self.at[i] = b
+        for b in touched:
+            self.tell(b)
+
+    def step(self, b: int) -> list[tuple[int, int]] | None:
+        """The first step found that fills b and raises the sum: a move into it, an exchange of one or of two for one."""
+        gap = self.capacity - self.fill[b]
+        better = lambda moves: self.gain(moves) > 0
+        if (i := self.largest(gap, 0, bin_=b, gains=lambda i: better([(i, b)]))) is not None:
+            return [(i, b)]
+        for a in {self.sizes[i]: i for i in self.items[b]}.values():
+            s = self.sizes[a]
+            if (i := self.largest(s + gap, s, bin_=b, gains=lambda i: better([(i, b), (a, self.at[i])]))) is not None:
+                return [(i, b), (a, self.at[i])]
+            firsts = self.there & ((1 << (s + gap)) - 1)
+            while firsts:
+                first = firsts.bit_length() - 1
+                firsts ^= 1 << first
+                x = self.emptiest(first, bin_=b)
+                if x is None:
+                    continue
+                y = self.largest(min(first, s + gap - first), max(0, s - first), x, bin_=b, gains=lambda y: better([(x, b), (y, b), (a, self.at[y])]) or better([(x, b), (y, b), (a, self.at[x])]))
+                if y is not None:
+                    home = self.at[y] if better([(x, b), (y, b), (a, self.at[y])]) else self.at[x]
+                    return [(x, b), (y, b), (a, home)]
+        return None
+
+
+def improve(bins: list[list[int]], sizes: list[int], capacity: int) -> list[list[int]]:
+    """Local search between underfull bins until no step is left; every step raises the sum of squared fills, so it ends."""
     full = [b for b in bins if sum(sizes[i] for i in b) == capacity]
-    part = [b for b in bins if sum(sizes[i] for i in b) < capacity]
-    fill = [sum(sizes[i] for i in b) for b in part]
-    for _ in range(passes):
+    part = Bins([b for b in bins if sum(sizes[i] for i in b) < capacity], sizes, capacity)
+    moved = True
+    while moved:
         moved = False
-        order = sorted(range(len(part)), key=lambda b: -fill[b])
-        at = {i: b for b, items in enumerate(part) for i in items}
-        by_size: dict[int, set[int]] = defaultdict(set)
-        for i in at:
-            by_size[sizes[i]].add(i)
-        there = 0  # bit s: an item of size s lies in an underfull bin
-        for s in by_size:
-            there |= 1 << s
-
-        def put(i: int, b: int) -> None:
-            part[at[i]].remove(i)
-            fill[at[i]] -= sizes[i]
-            part[b].append(i)
-            fill[b] += sizes[i]
-            at[i] = b
-
-        def from_emptier(most: int, above: int, b: int, but: int = -1) -> int | None:
-            """An item of a bin emptier than b, the largest of at most `most` and over `above`."""
-            found = there & ((1 << (most + 1)) - 1)
-            while found:
-                s = found.bit_length() - 1
-                if s <= above:
-                    return None
-                for n, i in enumerate(by_size[s]):
-                    if i != but and at[i] != b and fill[at[i]] < fill[b]:
-                        return i
-                    if n >= 8:
-                        break
-                found ^= 1 << s
-            return None
-
-        for b in order:
-            while part[b] and fill[b] < capacity:
-                gap = capacity - fill[b]
-                if (i := from_emptier(gap, 0, b)) is not None:  # move
-                    put(i, b)
-                    moved = True
-                    continue
-                done = False
-                for a in sorted(part[b], key=lambda i: sizes[i])[:16]:
-                    if (i := from_emptier(sizes[a] + gap, sizes[a], b)) is not None and fill[at[i]] - sizes[i] + sizes[a] <= capacity:  # one for one
-                        home = at[i]
-                        put(i, b)
-                        put(a, home)
-                        done = True
-                        break
-                    x = from_emptier(sizes[a] + gap - 1, 0, b)
-                    y = from_emptier(sizes[a] + gap - sizes[x], max(0, sizes[a] - sizes[x]), b, x) if x is not None else None
-                    if y is not None and sizes[x] + sizes[y] > sizes[a] and fill[at[y]] - sizes[y] - sizes[x] * (at[x] == at[y]) + sizes[a] <= capacity:  # two for one
-                        home = at[y]
-                        put(x, b)
-                        put(y, b)
-                        put(a, home)
-                        done = True
-                        break
-                if not done:
-                    break
+        for b in sorted(range(len(part.items)), key=lambda b: -part.fill[b]):
+            while part.items[b] and part.fill[b] < capacity and (moves := part.step(b)):
+                part.move(moves)
                 moved = True
-        keep = [b for b, items in enumerate(part) if items]
-        part, fill = [part[b] for b in keep], [fill[b] for b in keep]
-        if not moved:
-            break
-    return full + part
+    return full + [b for b in part.items if b]
 
 
 def pack_block(size: int):

@@ -97,14 +97,30 @@ def family(size):
 
 
 def test_branching_keeps_pairs_together(spark):
-    """Production parameters; three levels, where nodes of 300 would already be compared."""
-    branches = inspect.signature(minhash.link).parameters["branches"].default
-    asked = docs(spark, family(300))
-    nodes, sets = minhash.roots(minhash.sketches(asked, 1, 48), 16), minhash.full_sets(asked, 1)
-    for level in range(3):
-        nodes = minhash.materialise(minhash.branched(nodes.join(minhash.fresh_values(sets, level, 48), "fp"), branches, 48), "nodes")
-    ids = nodes.join(minhash.sketches(asked, 1, 48).select("doc_id", "fp"), "fp").select("node", F.floor(F.col("doc_id") / 2).alias("pair"))
-    assert ids.groupBy("node", "pair").count().filter("count = 2").select("pair").distinct().count() == 150
+    """Production trees and branches; nodes over 40 branch, those of 600 documents of a family at 0.71 several times."""
+    got = minhash.near_duplicates(docs(spark, family(600)), width=1, per_cent=80, small=40).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(i, i - i % 2) for i in range(600)}
+
+
+def test_large_nodes_in_blocks(spark):
+    """What is large after the last level is compared in blocks: nothing branches here."""
+    got = minhash.near_duplicates(docs(spark, family(300)), width=1, per_cent=80, small=16, depth=0).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(i, i - i % 2) for i in range(300)}
+
+
+def test_sets_without_bloom_filter(spark):
+    asked = docs(spark, family(20)).unionByName(spark.createDataFrame([(None, "a b c")], "doc_id long, text string"))
+    reps = minhash.sketches(asked, 1, 48).filter("doc_id % 2 = 0 or doc_id is null").select(F.coalesce("doc_id", F.lit(-1)).alias("c"), "fp", "doc_id")
+    both = [sorted((r.c, bytes(r.s)) for r in minhash.sets_of(asked, reps, 1, bits).collect()) for bits in (1 << 24, 0)]
+    assert both[0] == both[1] and [c for c, _ in both[0]] == [-1, *range(0, 20, 2)]
+
+
+def test_keep_one_drops_rows_not_ids(spark):
+    a, b = "a b c d e f g", "h i j k l m n"
+    rows = [(1, a, "x"), (5, a, "y"), (5, b, "z"), (7, b, "w"), (None, b, "v"), (9, None, "u"), (9, "", "t"), (3, "o p q", "s"), (3, "o p q", "s")]
+    kept = minhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, comp string"))
+    assert kept.columns == ["doc_id", "text", "comp"]
+    assert sorted((r.comp, r.doc_id, r.text) for r in kept.collect()) == [("s", 3, "o p q"), ("t", 9, ""), ("u", 9, None), ("x", 1, a), ("z", 5, b)]
 
 
 def test_near_duplicates_without_links(spark):
@@ -127,6 +143,10 @@ def test_line_dedup(spark):
     assert [r.text for r in got] == [a, "zero\nlast", None, "", "one x\ntwo", "p"]
     assert [(r.n_lines, r.n_removed) for r in got] == [(4, 0), (5, 3), (0, 0), (0, 0), (2, 0), (5, 4)]
     assert line_dedup.without_repeats(docs(spark, [])).count() == 0
+    twice = spark.createDataFrame([(1, "a\nb\nc"), (1, "a\nb\nc"), (2, "a\nb\nc\n" + "long line " * 20_000)], "doc_id long, text string").withColumn("n_lines", F.lit("mine"))
+    only = line_dedup.first_only(twice)
+    assert only.columns == twice.columns and sorted((r.doc_id, len(r.text), r.n_lines) for r in only.collect()) == [(1, 5, "mine"), (1, 5, "mine"), (2, 200_000, "mine")]
+    assert line_dedup.first_only(twice.limit(0)).count() == 0
 
 
 def test_language_id(spark):
@@ -154,6 +174,71 @@ def test_segmentations_are_summed():
     assert np.allclose(e, [2 * 0.004 / total, 2 * (2 * 0.004 + 0.06) / total, 2 * 0.06 / total, 2 * 0.05 / total, 0])
 
 
+def segmentations(word, pieces):
+    """All ways to cut a word into pieces, letters that are no piece as None."""
+    if not word:
+        yield []
+    for n in range(1, len(word) + 1):
+        if word[:n] in pieces or n == 1:
+            for rest in segmentations(word[n:], pieces):
+                yield [word[:n] if word[:n] in pieces else None, *rest]
+
+
+def test_long_words_are_summed_whole():
+    rng = random.Random(9)
+    pieces = ["a", "b", "ab", "aaaaaaaaaaaab", "abababababababab", "bba"]
+    probs = np.array([[rng.random() / 50] for _ in range(len(pieces) + 1)])
+    at = {p: i for i, p in enumerate(pieces)} | {None: len(pieces)}
+    words = ["ab" * 9 + "aaaaaaaaaaaab", "abc" * 5, "ababababababababaaaaaaaaaaaab", "cba"]
+    for w, got in zip(words, langid.Lattice(pieces).score(words, probs)[:, 0], strict=True):
+        ways = [[at[p] for p in way] for way in segmentations(w, at)]
+        assert math.isclose(got, math.log(math.fsum(math.prod(probs[i, 0] for i in way) for way in ways)), rel_tol=1e-9)
+    huge, logs = "ab" * 4000, [0.0]
+    for end in range(1, len(huge) + 1):
+        ways = [logs[end - len(p)] + math.log(probs[at[p], 0]) for p in pieces if huge.startswith(p, end - len(p)) and end >= len(p)]
+        logs.append(max(ways) + math.log(sum(math.exp(x - max(ways)) for x in ways)))
+    assert math.isclose(langid.Lattice(pieces).score([huge], probs)[0, 0], logs[-1])
+    weights = langid.Lattice(pieces).expected(words, np.ones((4, 1)), probs[:, 0])[:, 0]
+    every = [(w, way) for w in words for way in segmentations(w, at)]
+    share = {w: math.fsum(math.prod(probs[at[p], 0] for p in way) for x, way in every if x == w) for w in words}
+    wanted = np.zeros(len(pieces) + 1)
+    for w, way in every:
+        for p in way:
+            wanted[at[p]] += math.prod(probs[at[q], 0] for q in way) / share[w]
+    assert np.allclose(weights, wanted)
+
+
+def test_language_query_equals_brute_force(spark):
+    """Training by expected counts over all segmentations, prediction by the sum over them, written out plainly; ties, repeated rows, clashing names."""
+    rows = [(1, "aab b", "x"), (2, "aab b", "x"), (3, "Bba, ba ab", "y"), (4, "abab", None), (5, None, "x"), (6, "zz", "y")]
+    pieces = ["▁a", "a", "b", "ab", "▁b", "ba", "z"]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    langs, probs = langid.train(df.select("text", "lang"), pieces)
+    at = {p: i for i, p in enumerate(pieces)} | {None: len(pieces)}
+    prior = np.array([1 / (i + 100) for i in range(len(pieces))] + [1e-7])
+    prior /= prior.sum()
+    table = np.full((len(pieces) + 1, 2), 0.05)
+    of = lambda w: [[at[p] for p in way] for way in segmentations("▁" + w, at)]
+    for _, text, lang in rows:
+        for w in langid.split(text) if lang else []:
+            ways = of(w)
+            total = sum(math.prod(prior[i] for i in way) for way in ways)
+            for way in ways:
+                for i in way:
+                    table[i, "xy".index(lang)] += math.prod(prior[j] for j in way) / total
+    assert langs == ["x", "y"] and np.allclose(probs, table / table.sum(axis=0))
+    asked = df.unionByName(df).withColumn("score", F.lit("mine"))
+    got = langid.predict(asked, pieces, (langs, probs), added=("found", "how")).orderBy("doc_id").collect()
+    assert len(got) == 12 and {r.score for r in got} == {"mine"}
+    for r in got:
+        logs = [sum(math.log(sum(math.prod(probs[i, k] for i in way) for way in of(w))) for w in langid.split(r.text)) for k in range(2)]
+        wanted = ("und", 0.0) if not langid.split(r.text) else (langs[int(logs[1] > logs[0])], 1 / (1 + math.exp(min(logs) - max(logs))))
+        assert r.found == wanted[0] and math.isclose(r.how, wanted[1])
+    even = langid.predict(asked.limit(1), pieces, (langs, np.repeat(probs[:, :1], 2, axis=1))).first()
+    assert (even.lang_pred, even.score) == ("x", 0.5)
+    assert langid.predict(df.limit(0), pieces, (langs, probs)).count() == 0
+
+
 def spec():
     with open(tokens.path("byte_bpe_50k.json"), encoding="utf-8") as f:
         return f.read()
@@ -198,6 +283,23 @@ def test_local_search_improves_and_keeps_all():
         assert len(packing.improve(loose, sizes, 100)) <= 1.05 * len(packing.best_fit(sizes, 100)) + 1
 
 
+def test_every_step_of_the_search_raises_the_sum():
+    sizes, before = [50, 20, 20, 45, 44, 11], None
+    part = packing.Bins([[0, 1, 2], [3, 4], [5]], sizes, 100)
+    for b in (0, 1, 2, 1, 0):
+        while moves := part.step(b):
+            before = sum(f * f for f in part.fill)
+            part.move(moves)
+            assert sum(f * f for f in part.fill) > before and max(part.fill) <= 100
+    assert before and sorted(part.fill) == [0, 90, 100]
+
+
+def test_topk_repeated_rows(spark):
+    df = spark.createDataFrame([(0, [1.0]), (7, [0.9]), (7, [0.9]), (8, [0.5]), (0, [1.0])], "vec_id long, embedding array<float>")
+    got = [tuple(r) for r in topk.search(df, F.col("vec_id") == 0, k=3).collect()]
+    assert sorted(got) == sorted(2 * [(0, 1, 0, 65536), (0, 2, 7, 256 * 230), (0, 3, 7, 256 * 230)])
+
+
 def test_topk(spark):
     """Partitions stay apart, so that keys of both sides have to meet by their hash."""
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
@@ -210,9 +312,9 @@ def test_topk(spark):
 def run_topk(spark):
     rng = random.Random(6)
     rows = [(i, [rng.gauss(0, 0.3) for _ in range(8)]) for i in range(300)] + [(i, [0.5] * 8) for i in range(300, 360)]
-    rows += [(400, None), (450, []), (451, [1.0, None]), (452, [float("nan")] * 8), (453, [float("inf")] * 8), (454, [1.0] * 3), (50, rows[50][1])]
+    rows += [(400, None), (450, []), (451, [1.0, None]), (452, [float("nan")] * 8), (453, [float("inf")] * 8), (454, [1.0] * 3)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("rank", F.lit(1))
-    got = [tuple(r) for r in topk.search(df, F.col("vec_id") % 50 == 0, block_rows=40, query_rows=3).collect()]
+    got = [tuple(r) for r in topk.search(df, F.col("vec_id") % 50 == 0, block_rows=40, block_components=200).collect()]
     ints = {i: np.floor(256 * np.float32(v).astype(float)).astype(int) for i, v in rows[:360]}
     wanted = []
     for q in range(0, 360, 50):
@@ -242,6 +344,32 @@ def test_chat_trees(spark):
     assert {(r.conv, r.rank): "".join(r.t) for r in got} == {(1, 1): "abe", (1, 2): "abcd", (2, 1): "xy", (2, 2): "xz"}
 
 
+def test_chat_paths_to_the_end(spark):
+    """A branching at each of 12 turns, a parent that is not there, a circle, a clashing column."""
+    rows = [(1, 1, None, "u", "r", 0.0)] + [(1, 2 * i + j, 2 * i - 1 if i > 1 else 1, "v", f"{i}{'ab'[j]}", float(j)) for i in range(1, 13) for j in (0, 1)]
+    rows += [(2, 5, 4, "u", "orphan", 0.0), (3, 1, 2, "u", "x", 0.0), (3, 2, 1, "u", "y", 0.0), (4, 1, None, None, "long " * 30_000, 0.0)]
+    kids = {}
+    for c, n, p, *_ in rows[:25]:
+        kids.setdefault(p, []).append(n)
+    text, score = {r[1]: r[4] for r in rows[:25]}, {r[1]: r[5] for r in rows[:25]}
+
+    def walk(n):
+        return [[n, *rest] for k in kids[n] for rest in walk(k)] if n in kids else [[n]]
+
+    wanted = sorted(walk(1), key=lambda p: (-sum(score[n] for n in p), p[-1]))[:3]
+    tree = spark.createDataFrame(rows, "conv long, node long, parent long, role string, text string, score double").withColumn("rank", F.lit("x"))
+    got = chat.format_paths(tree, top=3).select("conv", "rank", F.transform(chat.read_back(F.col("formatted")), lambda t: t.text).alias("t")).collect()
+    found = {(r.conv, r["rank"]): list(r.t) for r in got}
+    assert found == {(1, i + 1): [text[n] for n in p] for i, p in enumerate(wanted)} | {(2, 1): ["orphan"], (4, 1): ["long " * 30_000]}
+
+
+def test_quality_filter_splits_words_once(spark):
+    plan = quality.keep_good(docs(spark, TEXTS))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
+    named = docs(spark, ["The house on the hill was old and it had a garden with many trees in it."] * 2, extra=True).withColumn("a.b", F.lit(1))
+    assert quality.keep_good(named).columns == named.columns and quality.keep_good(named).count() == 2
+
+
 def test_quality(spark):
     good = "The house on the hill was old and it had a garden with many trees in it."
     got = quality.judge(docs(spark, [*TEXTS, good, "a b c d e " * 4, good + " ###" * 20], extra=True)).orderBy("doc_id").collect()
@@ -294,6 +422,32 @@ def test_hmm_scores(spark):
     assert hmm.score(docs(spark, []), held).count() == 0
 
 
+def test_hmm_score_with_one_state_is_the_class_unigram(spark):
+    """The composed score written out plainly: class frequency times the frequency in the class. Repeated rows, a clashing column."""
+    texts = ["a a b", "a a b", "c b xyz", None, "q"]
+    got = hmm.score(docs(spark, texts, extra=True), F.col("doc_id") == 4, states=1, own=2, rest=3, frequent=3).orderBy("doc_id").collect()
+    seen = Counter(w for t in texts[:4] for w in hmm.tokens(t))
+    most = sorted(seen, key=lambda w: (-seen[w], w.decode()))[:2]  # 4 x a, 4 x end
+    classes = {w: i for i, w in enumerate(most)}
+    of = lambda w: classes.get(w, 2 + zlib.crc32(w[-2:]) % 3)
+    mass, kinds = Counter(), Counter()
+    for w, n in seen.items():
+        mass[of(w)] += n
+        kinds[of(w)] += 1
+    n = sum(seen.values())
+    for r, t in zip(got, texts, strict=True):
+        wanted = sum(math.log10((mass[of(w)] + 0.01) / (n + 0.05) * (seen[w] + 1) / (mass[of(w)] + kinds[of(w)] + 1)) for w in hmm.tokens(t))
+        assert math.isclose(r.score, wanted, rel_tol=1e-6)
+
+
+def test_frequent_tokens_are_bounded_not_lost(spark):
+    counts = spark.createDataFrame([(f"w{i}", 1) for i in range(20)], "token string, c long")
+    assert 5 <= len(hmm.most_frequent(counts, 10)) <= 10 and len(hmm.most_frequent(counts, 30)) == 20
+    more = counts.unionByName(spark.createDataFrame([("x", 9), ("y", 5)], "token string, c long"))
+    got = hmm.most_frequent(more, 6)
+    assert list(got)[:2] == [b"x", b"y"] and 3 <= len(got) <= 6 and hmm.most_frequent(counts.limit(0), 5) == {}
+
+
 def test_hmm_states_are_trained(spark):
     """Held-out texts of an alternating language: what is next follows from the state, which a class unigram can't tell."""
     rng = random.Random(3)
@@ -321,6 +475,14 @@ def test_url_filter(spark):
     ]
 
 
+def test_url_filter_on_odd_tables(spark):
+    rules = [("block", "net", "/")]
+    odd = spark.createDataFrame([(1, "http://a.net/" + "x" * 50_000), (1, "http://a.net/" + "x" * 50_000), (2, "http://" + "a." * 300 + "net/")], "page_id int, url string").withColumn("key", F.lit("k"))
+    got = url_filter.with_rules(odd, rules)
+    assert [(r.rule, r.verdict, r.key) for r in got.collect()] == [("net/", "block", "k")] * 3
+    assert url_filter.with_rules(odd.limit(0), rules).count() == 0
+
+
 def test_cascade_is_exact(spark):
     keys = spark.range(4000).select(F.concat(F.lit("k"), "id").alias("key"))
     listed = keys.filter("key like '%7'")
