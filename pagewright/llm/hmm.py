@@ -35,6 +35,7 @@ from pagewright.llm.common import materialise, release
 
 END = b"\n"  # no word can be it
 FLUSH = 200_000
+STORE = 500_000  # tokens a task keeps with their classes
 LEAST_RISE = 1e-4  # nats a token; a round that gains less ends the training
 START_ROUNDS = 30  # at least; from the symmetric start the likelihood hardly rises at first
 START_TOKENS = 200_000
@@ -58,18 +59,35 @@ class Classes:
 
 
 class Known(dict):
-    """token -> class, worked out once per token and worker; emptied when full."""
+    """token -> class, worked out once per token and task; emptied when full."""
 
     def __init__(self, classes: Classes) -> None:
         self.classes = classes
 
     def __missing__(self, token: bytes) -> int:
-        if len(self) >= FLUSH:
+        if len(self) >= STORE:
             self.clear()
         self[token] = found = self.classes.of(token)
         return found
 
 
+class Codes(dict):
+    """token -> its number among the n frequent ones, or n + its class; other tokens are dropped when there are too many."""
+
+    def __init__(self, classes: Classes, frequent: dict[bytes, int]) -> None:
+        self.classes, self.frequent, self.n = classes, frequent, len(frequent)
+        self.update(zip(frequent, range(self.n)))
+
+    def __missing__(self, token: bytes) -> int:
+        if len(self) >= STORE + self.n:
+            self.clear()
+            self.update(zip(self.frequent, range(self.n)))
+            if token in self:
+                return self[token]
+        self[token] = found = self.n + self.classes.of(token)
+        return found
+
+
 def tokens(text: str | None) -> list[bytes]:
     """bytes.split cuts at exactly the six ASCII spaces, bytes.lower changes A-Z only."""
     return [*(text or "").encode().lower().split(), END]
@@ -96,16 +114,20 @@ class Model:
     emit: np.ndarray  # classes x states
 
     def forward(self, lengths: np.ndarray, obs: np.ndarray, keep: bool = False):
-        """Natural log likelihoods; with keep also the scaled alphas, the scales and the rows still running at each step."""
+        """Natural log likelihoods; with keep also the scaled alphas (states x rows), the scales and the rows still running at each step."""
         running = (lengths[None, :] > np.arange(len(obs))[:, None]).sum(axis=1)
-        total, alphas, scales = np.zeros(len(lengths)), [], []
+        total, product, alphas, scales = np.zeros(len(lengths)), np.ones(len(lengths)), [], []
+        emit, move = np.ascontiguousarray(self.emit.T), np.ascontiguousarray(self.move.T)
         a = None
         for t, n in enumerate(running):
-            e = self.emit[obs[t, :n]]
-            a = (self.first * e) if a is None else (a[:n] @ self.move) * e
-            c = a.sum(axis=1)
-            a /= c[:, None]
-            total[:n] += np.log(c)
+            e = emit.take(obs[t, :n], axis=1)
+            a = (self.first[:, None] * e) if a is None else (move @ a[:, :n]) * e
+            c = a.sum(axis=0)
+            a /= c
+            product[:n] *= c
+            if t % 8 == 7 or t == len(running) - 1:  # far from the end of a double's range
+                total += np.log(product)
+                product[:] = 1
             if keep:
                 alphas.append(a)
                 scales.append(c)
@@ -118,23 +140,25 @@ class Model:
     def expected(self, lengths: np.ndarray, obs: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
         """The log likelihood of one batch and its counts."""
         total, alphas, scales, running = self.forward(lengths, obs, keep=True)
-        k = len(self.first)
+        k, emit = len(self.first), np.ascontiguousarray(self.emit.T)
         moves, emits = np.zeros((k, k)), np.zeros_like(self.emit)
-        gammas = [None] * len(running)
-        b = np.zeros((0, k))
+        b = np.zeros((k, 0))
         for t in range(len(running) - 1, -1, -1):
             n = running[t]
-            if len(b) < n:
-                b = np.concatenate([b, np.ones((n - len(b), k))])
-            gammas[t] = alphas[t] * b
+            if b.shape[1] < n:
+                b = np.concatenate([b, np.ones((k, n - b.shape[1]))], axis=1)
             if t:
-                x = self.emit[obs[t, :n]] * b / scales[t][:, None]
-                moves += self.move * (alphas[t - 1][:n].T @ x)
-                b = x @ self.move.T
-        flat, seen = np.concatenate(gammas), np.concatenate([obs[t, :n] for t, n in enumerate(running)])
+                x = emit.take(obs[t, :n], axis=1)
+                x *= b
+                x /= scales[t]
+                moves += self.move * (alphas[t - 1][:, :n] @ x.T)
+            alphas[t] *= b  # now the states' probabilities given the whole row
+            if t:
+                b = self.move @ x
+        flat, seen = np.concatenate(alphas, axis=1), np.concatenate([obs[t, :n] for t, n in enumerate(running)])
         for s in range(k):
-            emits[:, s] = np.bincount(seen, flat[:, s], len(self.emit))
-        return total.sum(), gammas[0].sum(axis=0), moves, emits
+            emits[:, s] = np.bincount(seen, flat[s], len(self.emit))
+        return total.sum(), alphas[0].sum(axis=1), moves, emits
 
 
 def token_counts(rows: DataFrame) -> DataFrame:
@@ -304,31 +328,27 @@ def score(docs: DataFrame, held_out: Column, states: int = 4, own: int = 2000, r
 
     schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("log_c", pa.float64()), ("hmm", pa.float64()), ("rare", pa.list_(pa.struct([("token", pa.string()), ("tf", pa.int64())])))])
 
+    class_of = np.array([*map(classes.of, counted), *range(classes.n)])
+    logs = np.log10(np.array([*counted.values(), *[0] * classes.n]) + 1.0)
+
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counted = Known(classes), shared.value
-        logs = {w: math.log10(c + 1) for w, c in counted.items()}
-        row = TaskContext.get().partitionId() << 40
+        codes, row = Codes(classes, shared.value), TaskContext.get().partitionId() << 40
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
                 lists = [tokens(t) for t in part.column(1).to_pylist()]
-                seqs = [np.fromiter(map(known.__getitem__, ws), np.int32, len(ws)) for ws in lists]
-                hmm = np.zeros(len(seqs))
+                coded = [np.fromiter(map(codes.__getitem__, ws), np.int32, len(ws)) for ws in lists]
+                seqs, hmm = [class_of[c] for c in coded], np.zeros(len(coded))
                 for numbers, lengths, obs in batches_of(seqs, cells=4_000_000):
                     hmm[numbers] = model.forward(lengths, obs) / math.log(10) - np.add.reduceat(np.concatenate([log_mass[seqs[i]] for i in numbers]), np.cumsum(lengths) - lengths)
                 n_known, log_c, ends, rare, times = [], [], [0], [], []
-                for ws in lists:
-                    n, total = 0, []
-                    for w, k in Counter(ws).items():
-                        x = logs.get(w)
-                        if x is None:
-                            rare.append(w.decode())
-                            times.append(k)
-                        else:
-                            n += k
-                            total.append(x * k)
-                    n_known.append(n)
-                    log_c.append(math.fsum(total))
+                for ws, code in zip(lists, coded, strict=True):
+                    unknown = np.flatnonzero(code >= codes.n)
+                    n_known.append(len(ws) - len(unknown))
+                    log_c.append(logs[code].sum())
+                    for w, k in Counter([ws[i] for i in unknown]).items():
+                        rare.append(w.decode())
+                        times.append(k)
                     ends.append(len(rare))
                 pairs = pa.StructArray.from_arrays([pa.array(rare, pa.string()), pa.array(times, pa.int64())], names=["token", "tf"])
                 columns = [range(row, row + len(lists)), part.column(0), part.column(2), [len(ws) for ws in lists], n_known, log_c, hmm, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)]

@@ -164,7 +164,7 @@ def measured(nodes: DataFrame) -> DataFrame:
     """nodes (node, tree, c, n) with their number of classes, of shingles and two pivots; nodes of one class are left out."""
     pivot = lambda k: F.min(F.col("c").bitwiseXOR(F.lit(k))).bitwiseXOR(F.lit(k))  # noqa: E731  an order of its own
     sizes = nodes.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight"), pivot(0x2A5F3C9966D1E8B7).alias("p0"), pivot(0x55A0C3663E2D1748).alias("p1"))
-    return nodes.join(sizes.filter("size > 1"), "node")
+    return nodes.join(materialise(sizes.filter("size > 1"), "sizes"), "node")  # written, so that the join of a node with many rows can be split
 
 
 def roots(classes: DataFrame, trees: int) -> DataFrame:
@@ -439,9 +439,9 @@ def assigned(docs: DataFrame, width: int, per_cent: int, **how) -> DataFrame:
     labels = link(classes, docs, width, per_cent, **how)
     named = classes.select("fp", "doc_id", "c")
     named = named.withColumn("comp", F.col("c")) if labels is None else named.join(labels.withColumnRenamed("id", "c"), "c", "left").withColumn("comp", F.coalesce("comp", "c"))
-    least = named.groupBy("comp").agg(F.min("doc_id").alias("component_id"))
+    least = materialise(named.groupBy("comp").agg(F.min("doc_id").alias("component_id")), "least")
     of = materialise(named.join(least, "comp").select("fp", "component_id", "comp"), "of")
-    release(classes, *([labels] if labels is not None else []))
+    release(classes, least, *([labels] if labels is not None else []))
     # rows without a set never meet a join
     got = rows.filter("fp is not null").select("doc_id", "h", "n", "fp").join(of, "fp").select("doc_id", "h", "n", "component_id", "comp")
     none = rows.filter("fp is null").select("doc_id", "h", "n", F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("comp"))
@@ -461,6 +461,7 @@ def keep_one(docs: DataFrame, width: int = 5, per_cent: int = 80, **how) -> Data
     """
     rows = assigned(docs, width, per_cent, **how).filter("comp is not null").withColumn("id", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h"))
     best = rows.groupBy("comp").agg(F.min("id").alias("best"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+    best = materialise(best, "best")  # written, so that the join of a component with many rows can be split
     # of the rows of components of several: the key, whether it is the one that stays, how many rows have it
     found = rows.join(best, "comp").groupBy("doc_id", "h").agg(F.max((F.col("id") == F.col("best")).cast("int")).alias("stays"), F.count(F.lit(1)).alias("times"))
     found = materialise(found.withColumnsRenamed({"doc_id": "__id", "h": "__h"}), "found")
