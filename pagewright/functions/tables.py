@@ -9,16 +9,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir); a local one only where the session names none, as in tests."""
+    """The folder that driver and executors share (spark.checkpoint.dir); a local one only where the session names none and runs on this machine alone."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         found = spark.sparkContext.getCheckpointDir()
+    if not found and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not found:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="pagewright-"))
         found = spark.sparkContext.getCheckpointDir()
     return found
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df dealt over all cores where it has fewer partitions than there are; larger inputs are left as they are, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if not df.isStreaming and df.rdd.getNumPartitions() < cores else df
+
+
 def materialise(df: DataFrame, name: str = "t") -> DataFrame:
     """df written as Parquet to the shared folder and read again: cuts lineage, survives lost executors."""
     spark = df.sparkSession

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from pagewright.functions.tables import materialise
+from pagewright.operators.quality import warnings
+from pagewright.operators.target import child_blocks, properties, replace_children
 from pagewright.plans.records import records, with_scope
 
 
@@ -66,12 +68,11 @@ def missing(fetched: DataFrame, target: DataFrame, id_pattern: str = r"/archives
 def apply_changes(target: DataFrame, changed: DataFrame, gone: DataFrame, as_of) -> DataFrame:
     """The target after a run: a snapshot, to be written in one piece. changed: of changes(); gone: of missing().
 
-    Unchanged records are not touched, their last check included. Records of pages that are gone are
+    New and changed records are written as properties() has them, cut and blanked. Unchanged records are not touched, their last check included. Records of pages that are gone are
     marked for review.
     """
     today = F.lit(as_of).cast("date")
-    fields = [c for c in target.columns if c not in ("last_checked", "changed")]
-    fresh = changed.filter("outcome <> 'unchanged'").select(*fields, today.alias("last_checked"), (F.col("outcome") == "updated").alias("changed"))
+    fresh = properties(changed.filter("outcome <> 'unchanged'"), as_of, F.col("outcome") == "updated").select(*target.columns)
     lost = gone.filter("outcome = 'updated'").select("post_id", F.lit(True).alias("__gone")).distinct()
     kept = latest(target).join(fresh.select("post_id"), "post_id", "left_anti").join(lost, "post_id", "left")
     mark = F.coalesce("__gone", F.lit(False))
@@ -89,12 +90,22 @@ def filter_counters(found: DataFrame) -> DataFrame:
     return found.agg(*[F.count_if(F.col("bucket") == n).alias(n) for n in ("in_scope", "filtered_non_design", "filtered_ambiguous")])
 
 
-def run(fetched: DataFrame, listing: DataFrame, target: DataFrame, as_of, site: str = "") -> dict[str, DataFrame]:
-    """One sync of fetched pages (url, status, html): the new target, the outcomes and both summaries. The records of the run are kept in the shared folder; the target is not written here."""
+def run(fetched: DataFrame, listing: DataFrame, target: DataFrame, as_of, site: str = "", children: DataFrame | None = None) -> dict[str, DataFrame]:
+    """One sync of fetched pages (url, status, html): the new target and child table, the outcomes, warnings and both summaries.
+
+    The records of the run are kept in the shared folder; the target is not written here.
+    """
     good = with_categories(fetched.filter("status = 'ok'").select("url", "html"), listing)
     scoped = materialise(with_scope(records(good, as_of, site)), "records")  # pages are parsed once
     decided = changes(scoped.filter("scope = 'in_scope'").drop("scope", "bucket"), target)
     gone = missing(fetched, target)
     failed = fetched.filter("status = 'error'").select(F.lit("errors").alias("outcome"))
     outcomes = decided.select("outcome").unionByName(gone.select("outcome")).unionByName(failed)
-    return {"target": apply_changes(target, decided, gone, as_of), "changes": decided, "summary": counters(outcomes), "filter_summary": filter_counters(scoped)}
+    changed = decided.filter("outcome <> 'unchanged'")
+    blocks = child_blocks(changed)
+    said = decided.select("post_id", "source_url", warnings(F.col("body_blocks"), F.col("content_type"), F.col("employment_types")).alias("warnings")).filter(F.size("warnings") > 0)
+    return {
+        "target": apply_changes(target, decided, gone, as_of),
+        "children": blocks if children is None else replace_children(children, blocks, changed),
+        "changes": decided, "warnings": said, "summary": counters(outcomes), "filter_summary": filter_counters(scoped),
+    }

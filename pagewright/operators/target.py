@@ -60,6 +60,26 @@ def migrate(df: DataFrame) -> tuple[DataFrame, list[str], list[str]]:
     return df.withColumns({n: F.lit("") for n in missing}) if missing else df, missing, [n for n in SECTIONS if n not in missing]
 
 
+def migrate_table(spark: SparkSession, table: str) -> tuple[list[str], list[str]]:
+    """Adds the section columns that a stored table lacks and looks again; the names added and those found. Nothing but columns is touched."""
+    _, missing, there = migrate(spark.table(table))
+    if missing:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(f'{n} STRING' for n in missing)})")
+        spark.catalog.refreshTable(table)
+    still, wrong = schema_problems(spark.table(table).schema, {n: _S for n in SECTIONS})
+    if still or wrong:
+        raise ValueError(f"{table} was not migrated: {', '.join([*still, *wrong])}")
+    return missing, there
+
+
+def outside_domains(rows: DataFrame) -> DataFrame:
+    """post_id, column, value of what rows hold outside the closed domains."""
+    held = F.explode(F.array(*[F.struct(F.lit(n).alias("column"), (F.col(n) if n == "employment_types" else F.array(n)).alias("values")) for n in DOMAINS]))
+    allowed = F.create_map(*[x for n, vs in DOMAINS.items() for x in (F.lit(n), F.array(*map(F.lit, vs)))])
+    each = rows.select("post_id", held.alias("d")).select("post_id", "d.column", F.explode("d.values").alias("value"))
+    return each.filter(F.col("value").isNotNull() & ~F.array_contains(F.element_at(allowed, F.col("column")), F.col("value")))
+
+
 def properties(found: DataFrame, as_of, changed: Column | bool = False) -> DataFrame:
     """Records as rows of the target: titles and short texts cut, fields of the other kind of posting blank, checked today."""
     job = F.col("content_type") == JOB
@@ -90,6 +110,13 @@ def replace_children(children: DataFrame, fresh: DataFrame, changed: DataFrame)
     return children.join(changed.select("post_id").distinct(), "post_id", "left_anti").unionByName(fresh.join(changed.select("post_id").distinct(), "post_id", "left_semi"))
 
 
+def blocks_of(children: DataFrame) -> DataFrame:
+    """post_id, blocks (kind, text) in order: the child table read back, a post a row."""
+    one = F.struct("pos", "kind", F.array_join("texts", "").alias("text"))
+    got = children.groupBy("post_id").agg(F.array_sort(F.collect_list(one)).alias("all"))
+    return got.select("post_id", F.transform("all", lambda b: F.struct(b.kind.alias("kind"), b.text.alias("text"))).alias("blocks"))
+
+
 def plain_text(kind: Column, texts: Column, url: Column, name: Column) -> Column:
     """A typed property as text: title and rich_text joined, url and select as they are, else empty."""
     return F.coalesce(F.when(kind.isin("title", "rich_text"), F.array_join(texts, "")).when(kind == "url", url).when(kind == "select", name), F.lit(""))

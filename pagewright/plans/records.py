@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pagewright.functions.ship import ship
+from pagewright.functions.tables import spread
 from pagewright.functions.text import activity_period, all_text, location, split_title
 from pagewright.functions.vocabulary import GENERIC_PREFIXES
 from pagewright.operators import classify, dates, quality, sections
@@ -24,10 +25,14 @@ RECORD = ["post_id", "source_url", *HASHED[1:], "content_hash"]
 POST_ID = r"/archives/(\d+)"
 
 
-def content_hash(names: list[str] | None = None) -> Column:
-    """sha256 of the fields as JSON, names sorted, nulls written out."""
-    fields = sorted(names or HASHED)
-    return F.sha2(F.to_json(F.struct(*[F.col(n) for n in fields]), {"ignoreNullFields": "false"}), 256)
+def content_hash(names: list[str] | None = None, reasons: tuple[str, ...] = quality.REASONS) -> Column:
+    """sha256 of the fields as JSON: names sorted, those of the quality reasons too, blocks as pairs, nulls written out."""
+    as_written = {
+        "body_blocks": lambda x: F.transform(x, lambda b: F.array(b.kind, b.text)),
+        "quality_reasons": lambda x: F.struct(*[x[n].alias(n) for n in sorted(reasons)]),
+    }
+    fields = [as_written.get(n, lambda x: x)(F.col(n)).alias(n) for n in sorted(names or HASHED)]
+    return F.sha2(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}), 256)
 
 
 def roles(title: Column, marks: Column, blocks: Column) -> Column:
@@ -52,13 +57,16 @@ def roles(title: Column, marks: Column, blocks: Column) -> Column:
     return F.when(F.size(numbered) >= 2, by_number).when(F.size(named) >= 2, by_name)
 
 
-def page_rows(pages: DataFrame, site: str = "") -> DataFrame:
-    """url, fallback and the page struct's fields; own categories come before those of the listing."""
+def page_rows(pages: DataFrame, site: str = "", keep: tuple[str, ...] = ()) -> DataFrame:
+    """The columns keep, url and the page struct's fields of each row of pages; own categories come before those of the listing."""
     ship(pages.sparkSession)
     if "fallback_categories" not in pages.columns:
         pages = pages.withColumn("fallback_categories", F.array().cast("array<string>"))
-    got = pages.select("url", F.coalesce("fallback_categories", F.array().cast("array<string>")).alias("fallback"), parsed(F.col("html"), F.col("url"), site).alias("page"))
-    return got.select("url", F.when(F.size("page.categories") > 0, F.col("page.categories")).otherwise(F.col("fallback")).alias("site_categories"), "page.title", "page.published_raw", "page.apply_url", "page.had_images", "page.blocks", "page.links", "page.next_href")
+    held = [F.col(n) for n in keep]
+    pages = spread(pages.select(*held, "url", "html", "fallback_categories"))
+    got = pages.select(*held, "url", F.coalesce("fallback_categories", F.array().cast("array<string>")).alias("fallback"), parsed(F.col("html"), F.col("url"), site).alias("page"))
+    own = F.when(F.size("page.categories") > 0, F.col("page.categories")).otherwise(F.col("fallback")).alias("site_categories")
+    return got.select(*held, "url", own, "page.title", "page.published_raw", "page.apply_url", "page.had_images", "page.blocks", "page.links", "page.next_href")
 
 
 def records(pages: DataFrame, as_of, site: str = "", id_pattern: str = POST_ID) -> DataFrame:

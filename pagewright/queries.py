@@ -125,8 +125,7 @@ _UNESCAPE = "replace(replace(replace(replace(replace({}, '&copy;', '©'), '&midd
 
 @query(f"SELECT page_id, url, trim({_UNESCAPE.format(_UNESCAPE.format(chr(114) + 'egexp_extract(html, ' + chr(39) + '<h1>(.*?)</h1>' + chr(39) + ', 1)'))}) AS title FROM pages")
 def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = read(spark, sf_dir, "pages")
-    return page_rows(pages).join(pages.select("page_id", "url"), "url").select("page_id", "url", "title")
+    return page_rows(read(spark, sf_dir, "pages"), keep=("page_id",)).select("page_id", "url", "title")
 
 
 @query()
@@ -138,8 +137,7 @@ def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT href, min(page_id) AS page_id FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a href=\"(/[^\"]*)\"', 1)) AS href FROM pages) GROUP BY href")
 def first_seen_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = read(spark, sf_dir, "pages")
-    got = page_rows(pages).join(pages.select("page_id", "url"), "url").select("page_id", F.posexplode("links").alias("pos", "l"))
+    got = page_rows(read(spark, sf_dir, "pages"), keep=("page_id",)).select("page_id", F.posexplode("links").alias("pos", "l"))
     path = F.regexp_extract("l.href", r"^[a-z]+://[^/]+(/.*)$", 1)
     found = first_seen(got.select(c("page_id").alias("page_no"), "pos", path.alias("url"), "l.categories"))
     return found.select(c("url").alias("href"), c("page_no").alias("page_id"))
@@ -169,11 +167,12 @@ def truncated_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(r"""WITH l AS (SELECT doc_id, line, i FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents) WHERE trim(line) <> ''),
 s AS (SELECT *, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i) - 1 AS n, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM l),
-f AS (SELECT doc_id FROM s WHERE k = 1 AND n <= 400)
-SELECT doc_id, trim(string_agg(line, chr(10) ORDER BY i), ' ' || chr(10)) AS head FROM s SEMI JOIN f USING (doc_id) WHERE n <= 400 GROUP BY doc_id""")
+f AS (SELECT doc_id, line AS t, regexp_extract(left(line, 401), '(?s)^(.*\s)', 1) AS a, regexp_extract(left(line, 401), '(?s)^(.*[.!?])(?:\s|$)', 1) AS b FROM s WHERE k = 1 AND n > 400)
+SELECT doc_id, trim(string_agg(line, chr(10) ORDER BY i), ' ' || chr(10)) AS head FROM s ANTI JOIN f USING (doc_id) WHERE n <= 400 GROUP BY doc_id
+UNION ALL SELECT doc_id, CASE WHEN greatest(length(a), length(b)) > 0 THEN trim(CASE WHEN length(a) >= length(b) THEN a ELSE b END, ' ' || chr(10)) ELSE trim(left(t, 400), ' ' || chr(10)) END FROM f""")
 def complete_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", F.filter(text.lines(c("text")), lambda x: F.trim(x) != "").alias("ls"))
-    docs = docs.filter((F.size("ls") > 0) & (F.length(F.get("ls", F.lit(0))) <= 400))
+    docs = docs.filter(F.size("ls") > 0)
     return docs.select("doc_id", text.join_complete_lines(c("ls"), 400).alias("head"))
 
 
@@ -273,20 +272,26 @@ def lines_as_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select(c("doc_id").cast("string").alias("post_id"), F.concat(F.lit("https://site.example/archives/"), c("doc_id").cast("string")).alias("source_url"), blocks.alias("body_blocks"), F.struct(F.lit(False).alias("missing_job_duties")).alias("quality_reasons"))
 
 
-@query(r"""WITH l AS (SELECT doc_id, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents) WHERE trim(line) <> ''),
-n AS (SELECT doc_id, sum(CAST(ceil(length(line) / 500.0) AS BIGINT)) AS k FROM l GROUP BY doc_id)
-SELECT CAST(d.doc_id AS VARCHAR) AS post_id, CAST(coalesce(k, 0) + 3 AS BIGINT) AS n, CAST((coalesce(k, 0) + 2) // 100 AS INTEGER) AS last_batch FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id""")
+@query(r"""WITH l AS (SELECT doc_id, line, i FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents) WHERE trim(line) <> ''),
+s AS (SELECT doc_id, i, k, substr(line, 500 * k + 1, 500) AS piece FROM (SELECT doc_id, line, i, unnest(range(CAST(ceil(length(line) / 500.0) AS BIGINT))) AS k FROM l)),
+n AS (SELECT doc_id, count(*) AS k, string_agg(piece, '|' ORDER BY i, k) || '|' AS t FROM s GROUP BY doc_id)
+SELECT CAST(d.doc_id AS VARCHAR) AS post_id, CAST(coalesce(k, 0) + 3 AS BIGINT) AS n, CAST((coalesce(k, 0) + 2) // 100 AS INTEGER) AS last_batch, sha256('원문|' || coalesce(t, '') || '|출처: https://site.example/archives/' || d.doc_id) AS texts_sha256 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id""")
 def child_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = target.child_blocks(lines_as_records(spark, sf_dir), most=500)
-    return got.groupBy("post_id").agg(F.count(F.lit(1)).alias("n"), F.max("batch").alias("last_batch"))
+    back = target.blocks_of(got).select(c("post_id").alias("id"), F.sha2(F.encode(F.array_join(F.transform("blocks", lambda b: b.text), "|"), "UTF-8"), 256).alias("texts_sha256"))
+    counts = got.groupBy("post_id").agg(F.count(F.lit(1)).alias("n"), F.max("batch").alias("last_batch"))
+    return counts.join(back, c("post_id") == c("id")).drop("id")
 
 
-@query(r"""WITH n AS (SELECT doc_id, len(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '')) AS k FROM documents)
-SELECT CAST(doc_id AS VARCHAR) AS post_id, CAST(k AS INTEGER) AS total, CAST(greatest(0, k - 8) AS INTEGER) AS omitted, CAST(least(k, 8) AS INTEGER) AS shown FROM n""")
+@query(r"""WITH n AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '') AS ls FROM documents)
+SELECT CAST(doc_id AS VARCHAR) AS post_id, CAST(len(ls) AS INTEGER) AS total, CAST(greatest(0, len(ls) - 8) AS INTEGER) AS omitted, CAST(least(len(ls), 8) AS INTEGER) AS shown,
+sha256(array_to_string(ls[1:8], '|')) AS shown_sha256, ls[len(ls)] AS last FROM n""")
 def previews(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = preview(lines_as_records(spark, sf_dir))
-    j = F.from_json("preview", "body_blocks_total int, body_blocks_omitted int, body_blocks_preview array<struct<kind:string,text:string>>")
-    return got.select("post_id", j.alias("j")).select("post_id", c("j.body_blocks_total").alias("total"), c("j.body_blocks_omitted").alias("omitted"), F.size("j.body_blocks_preview").alias("shown"))
+    j = F.from_json("preview", "body_blocks_total int, body_blocks_omitted int, body_blocks_preview array<struct<kind:string,text:string>>, body_blocks_last struct<kind:string,text:string>")
+    got = got.select("post_id", j.alias("j"))
+    shown = F.sha2(F.encode(F.array_join(F.transform("j.body_blocks_preview", lambda b: b.text), "|"), "UTF-8"), 256)
+    return got.select("post_id", c("j.body_blocks_total").alias("total"), c("j.body_blocks_omitted").alias("omitted"), F.size("j.body_blocks_preview").alias("shown"), shown.alias("shown_sha256"), c("j.body_blocks_last.text").alias("last"))
 
 
 @query("SELECT count(*) FILTER (doc_id % 3 = 0) AS in_scope, count(*) FILTER (doc_id % 3 = 1) AS filtered_non_design, count(*) FILTER (doc_id % 3 = 2) AS filtered_ambiguous FROM documents")

@@ -203,10 +203,21 @@ def content_root(top: Node) -> Node:
     return next(select(top, "body"), top)
 
 
+NOISE_NAMES = frozenset(s for s in NOISE_SELECTORS if "." not in s)
+NOISE_CLASSES = frozenset(s[1:] for s in NOISE_SELECTORS if s.startswith(".") and "." not in s[1:])
+NOISE_OTHERS = [s for s in NOISE_SELECTORS if s not in NOISE_NAMES and s[1:] not in NOISE_CLASSES]
+
+
+def is_noise(node: Node) -> bool:
+    return node.name in NOISE_NAMES or not NOISE_CLASSES.isdisjoint(node.attrs.get("class", "").split()) or any(matches(node, s) for s in NOISE_OTHERS)
+
+
 def drop_noise(root: Node) -> None:
-    for node in list(root.nodes()):
-        if any(matches(node, s) for s in NOISE_SELECTORS) and node.parent is not None and node in node.parent.children:
-            node.parent.children.remove(node)
+    todo = [root]
+    while todo:
+        node = todo.pop()
+        node.children = [c for c in node.children if isinstance(c, str) or not is_noise(c)]
+        todo += [c for c in node.children if isinstance(c, Node)]
 
 
 class Blocks:
@@ -341,17 +352,28 @@ def apply_url(top: Node, url: str) -> str | None:
     return second
 
 
+BOXES = ("article", "li", "div")
+
+
 def links(top: Node, url: str) -> list[tuple[str, list[str]]]:
     """Absolute link targets in page order, each with the categories named in its nearest article, li or div."""
+    every = [n for n in top.nodes() if n.name == "a"]
+    # each category link is told to all boxes around it once, so the work follows the links and their depth
+    named: dict[int, dict[str, None]] = {}
+    for a in every:
+        if ("category" in a.attrs.get("rel", "").split() or is_category_link(a, False, True)) and (text := clean_text_py(a.text(" "))) in CATEGORY_WHITELIST:
+            for x in a.above():
+                if x.name in BOXES:
+                    named.setdefault(id(x), {})[text] = None
     out = []
-    for a in (n for n in top.nodes() if n.name == "a" and "href" in n.attrs):
-        try:
-            to = urljoin(url, a.attrs["href"])
-        except ValueError:
-            continue
-        box = next((x for x in a.above() if x.name in ("article", "li", "div")), None)
-        named = [clean_text_py(n.text(" ")) for n in box.nodes() if n.name == "a" and ("category" in n.attrs.get("rel", "").split() or is_category_link(n, False, True))] if box else []
-        out.append((to, [c for c in dict.fromkeys(named) if c in CATEGORY_WHITELIST]))
+    for a in every:
+        if "href" in a.attrs:
+            try:
+                to = urljoin(url, a.attrs["href"])
+            except ValueError:
+                continue
+            box = next((x for x in a.above() if x.name in BOXES), None)
+            out.append((to, list(named.get(id(box), ()))))
     return out
 
 
@@ -366,24 +388,28 @@ def next_link(top: Node, url: str) -> str | None:
 
 def parse_page(html: str | None, url: str | None, site: str = "") -> dict:
     top, url = Tree(html or "").top, url or ""
-    out = {"title": page_title(top, site), "categories": page_categories(top), "published_raw": published_raw(top), "apply_url": apply_url(top, url)}
+    title = page_title(top, site)
+    out = {"title": title, "categories": page_categories(top), "published_raw": published_raw(top), "apply_url": apply_url(top, url)}
     out |= {"links": [{"href": h, "categories": c} for h, c in links(top, url)], "next_href": next_link(top, url)}
     root = content_root(top)
     drop_noise(root)
     found = Blocks()
     found.walk(root)
     blocks = without_repeated_renderings(found.found)
-    if blocks and blocks[0][0].startswith("heading") and blocks[0][1] == clean_text_py(page_title(top, site)):
+    if blocks and blocks[0][0].startswith("heading") and blocks[0][1] == clean_text_py(title):
         blocks = blocks[1:]
     return out | {"had_images": any(n.name == "img" for n in root.nodes()), "blocks": [{"kind": k, "text": t} for k, t in blocks]}
 
 
 def parsed(html: Column, url: Column, site: str = "") -> Column:
-    """The page struct of each row. site: the site's name, cut from the end of titles."""
+    """The page struct of each row. site: the site's name, cut from the end of titles.
+
+    Declared not deterministic, so that no filter made from what follows runs it a second time.
+    """
 
     @F.pandas_udf(PAGE)
     def run(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         for pages, urls in parts:
             yield pd.DataFrame([parse_page(h, u, site) for h, u in zip(pages, urls, strict=True)], columns=PAGE.names)
 
-    return run(html, url)
+    return run.asNondeterministic()(html, url)

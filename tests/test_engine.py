@@ -4,14 +4,15 @@ import random
 import pytest
 from pyspark.sql import functions as F, types as T
 
+from pagewright import job
 from pagewright.functions.settings import Settings, from_env
 from pagewright.functions.text import heading_text, heading_text_py
 from pagewright.operators import sync, target
 from pagewright.plans.repeats import longest_repeat, unresolved, without_repeated_renderings
-from pagewright.plans.records import records
+from pagewright.plans.records import HASHED, records
 from pagewright.sources.html import parse_page
 from pagewright.sources.http import PoliteClient
-from pagewright.sources.listing import discover, require_access
+from pagewright.sources.listing import discover, listing_links, require_access
 
 
 def brute_repeat(blocks, least, chars):
@@ -169,3 +170,70 @@ def test_stream(spark, tmp_path):
     q = sync_stream(stream, lambda: spark.createDataFrame([], target.SCHEMA), lambda df: df.write.parquet(out), "2026-08-12", str(tmp_path / "cp"))
     q.awaitTermination(300)
     assert spark.read.parquet(out).count() == 1
+
+
+def site(spark, pages):
+    """Answers from a dict url -> (status, html), and what was asked."""
+    asked = []
+
+    def fetch(urls):
+        asked.extend(urls)
+        return spark.createDataFrame([(u, *pages.get(u, ("not_found", ""))) for u in urls], "url string, status string, html string")
+
+    return fetch, asked
+
+
+def test_job_from_settings_to_summaries(spark):
+    post = "https://s.example/archives/{}".format
+    links = lambda *ids: ("ok", "".join(f"<li><a href='/archives/{i}'>t</a></li>" for i in ids))
+    long = "프로덕트 디자이너 채용 " + "가" * 3000
+    pages = {"https://s.example/d": links(1, 2), "https://s.example/d/page/2/": links(1), "https://s.example/d/page/3/": links(2), post(1): ("ok", PAGE.format("가")), post(2): ("ok", f"<article><h1>{long}</h1><h3>주요 업무</h3><p>{''.join(f'{i:04d}' for i in range(1000))}</p></article>")}
+    fetch, asked = site(spark, pages)
+    settings = Settings(site_url="https://s.example/", listing_url="https://s.example/d", target_table="job_target", mode="full")
+    with pytest.raises(Exception, match="job_target"):
+        job.run(spark, settings, fetch, dt.date(2026, 8, 12), print)
+    spark.createDataFrame([], T.StructType([f for f in target.SCHEMA if f.name not in target.SECTIONS])).write.saveAsTable("job_target")
+    with pytest.raises(ValueError, match="migrate"):
+        job.run(spark, settings, fetch, dt.date(2026, 8, 12), print)
+    assert target.migrate_table(spark, "job_target")[0] == list(target.SECTIONS) and target.migrate_table(spark, "job_target")[0] == []
+    dry = []
+    assert job.run(spark, Settings(**{**vars(settings), "dry_run": True, "max_posts": 1}), fetch, dt.date(2026, 8, 12), dry.append) == 0
+    assert dry[-1] == 'SYNC_SUMMARY={"created": 0, "updated": 0, "unchanged": 0, "skipped": 1, "errors": 0}' and '"post_id":"1"' in dry[-3] and spark.table("job_target").count() == 0
+    said = []
+    assert job.run(spark, settings, fetch, dt.date(2026, 8, 12), said.append) == 0
+    assert said[-2:] == ['FILTER_SUMMARY={"in_scope": 2, "filtered_non_design": 0, "filtered_ambiguous": 0}', 'SYNC_SUMMARY={"created": 2, "updated": 0, "unchanged": 0, "skipped": 0, "errors": 0}']
+    rows = {r.post_id: r for r in spark.table("job_target").collect()}
+    assert len(rows["2"].title) == 1900 and rows["1"].target_audience == "" and rows["1"].last_checked == dt.date(2026, 8, 12)
+    back = {r.post_id: [b.text for b in r.blocks] for r in target.blocks_of(spark.table("job_target_children")).collect()}
+    assert back["1"][0] == "원문" and back["1"][-1] == "출처: " + post(1) and [len(t) for t in back["2"][2:5]] == [1900, 1900, 200]
+    assert target.outside_domains(spark.table("job_target")).count() == 0
+    pages[post(1)], pages["https://s.example/d"] = ("ok", PAGE.format("다")), links(1)  # 2 is on no listing any more
+    pages["https://s.example/d/page/3/"] = links(1)
+    said.clear()
+    asked.clear()
+    assert job.run(spark, Settings(**{**vars(settings), "mode": "recent"}), fetch, dt.date(2026, 8, 20), said.append) == 0
+    assert asked[-2:] == [post(1), post(2)] and said[-1] == 'SYNC_SUMMARY={"created": 0, "updated": 1, "unchanged": 1, "skipped": 0, "errors": 0}'
+    back = {r.post_id: [b.text for b in r.blocks] for r in target.blocks_of(spark.table("job_target_children")).collect()}
+    assert "다" in back["1"] and len(back) == 2 and spark.table("job_target").filter("changed").count() == 1
+    pages[post(1)] = ("error", "")
+    assert job.run(spark, settings, fetch, dt.date(2026, 8, 21), said.append) == 1
+    pages[post(1)] = ("rate_limited", "")
+    assert job.run(spark, settings, fetch, dt.date(2026, 8, 21), said.append) == 2
+
+
+def test_hash_is_of_sorted_json_with_blocks_as_pairs(spark):
+    import hashlib
+    import json
+
+    r = records(spark.createDataFrame([("https://s.example/archives/1", PAGE.format('가 "b"'))], "url string, html string"), "2026-08-12").first()
+    plain = r.asDict(recursive=True)
+    data = {n: plain[n] for n in HASHED} | {"body_blocks": [[b["kind"], b["text"]] for b in plain["body_blocks"]]}
+    said = json.dumps(data, ensure_ascii=False, sort_keys=True, separators=(",", ":"), default=str)
+    assert r.content_hash == hashlib.sha256(said.encode()).hexdigest()
+
+
+def test_pages_are_parsed_once(spark):
+    listing = spark.createDataFrame([(1, "https://s.example/d", "<div><a href='/archives/1'>x</a></div>"), (2, "https://s.example/d", "<a href='/archives/2'>x</a>")], "page_no int, page_url string, html string")
+    got = listing_links(listing, "s.example")
+    assert got._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    assert sorted((r.page_no, r.url[-1]) for r in got.collect()) == [(1, "1"), (2, "2")]
