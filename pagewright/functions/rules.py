@@ -30,6 +30,7 @@ def loose(value: str) -> str:
 PATTERNS = {k: [loose(v) for v in vs] for k, vs in SECTION_HEADINGS.items()}
 EXACT = {k: "|".join(loose(heading_text_py(v)) for v in vs) for k, vs in SECTION_HEADINGS.items()} | {"boundary": "|".join(map(loose, SECTION_BOUNDARY_HEADINGS))}
 TITLES = "|".join(sorted((p for ps in PATTERNS.values() for p in ps), key=len, reverse=True))
+# The forms of section titles and bracketed parts.
 #: A whole line that is a section title, with or without brackets and colon.
 SECTION_TITLE = rf"\s*[\[(]?\s*(?:{TITLES})\s*(?:\([^)]*\))?\s*[:：]?\s*[\])]?\s*"
 INLINE_TITLE = rf"\[\s*(?:{TITLES})\s*\]|(?:{TITLES})"
@@ -42,6 +43,7 @@ SENTENCES = [
     (100, r".+?로서\s*하게\s*될\s*일은\s*다음과\s*같습니다", "duties"),
     (10**6, r"(?:Design|Service\s*&\s*Business)\s*>.*", "boundary"),
 ]
+# Fixed value: what stands in brackets.
 BRACKETED = r"[\(（【\[]\s*([^\)）】\]]{2,50})\s*[\)）】\]]"
 # Patterns of lines that are never section content, or mean something of their own.
 URL_ONLY = r"(?:https?://|www\.)\S+"

@@ -135,18 +135,22 @@ def join_complete_lines(lines: Column, most: int) -> Column:
 
 def line_value(text: Column, labels: str, most: int = 500) -> Column:
     """What follows the first of `labels` on its line, two characters at least."""
+    # Fixed value: a label, a colon and the value.
     return F.left(clean_text(F.regexp_extract(text, rf"(?iuU)(?:{labels})\s*[:：]?\s*([^\n]{{2,{most}}})", 1)), F.lit(most))
 
 
 def organizer(text: Column) -> Column:
+    # Labels.
     return clean_text(F.regexp_extract(text, r"(?U)(?:주최|주관|운영기관|기관명)\s*[:：]\s*([^\n]{2,80})", 1))
 
 
 def location(text: Column) -> Column:
+    # Labels.
     return line_value(text, r"근무지|근무\s*장소|활동\s*지역|근무\s*지역|근무장소|근무주소", 250)
 
 
 def activity_period(text: Column) -> Column:
+    # Labels.
     return line_value(text, r"활동\s*기간|교육\s*기간|프로그램\s*기간|인턴\s*기간", 500)
 
 
@@ -162,6 +166,7 @@ def split_title(title: Column, body: Column, generic: list[str]) -> Column:
     return out
 
 
+# Fixed value: what separates roles.
 ROLE_SEPARATOR = r"\s*(?:,|/|·|•|\||\b및\b)\s*"
 
 
@@ -170,6 +175,7 @@ def role_fragments(role: Column) -> Column:
     parts = F.transform(F.split(role, "(?U)" + ROLE_SEPARATOR, -1), clean_text)
 
     def trimmed(x: Column) -> Column:
+        # What is trimmed from a role.
         for pattern in (r"\A[\s()\[\]{}]+|[\s()\[\]{}]+\z", r"\s*(?:등\s*)?(?:신입\s*및\s*경력)?채용\s*\z", r"\s*등\s*모집\s*\z"):
             x = F.regexp_replace(x, "(?U)" + pattern, "")
         return x

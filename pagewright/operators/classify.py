@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from pagewright.functions.rules import RESUME_GUIDANCE, is_full, java
+from pagewright.functions.rules import NUMBERED_JOB, RESUME_GUIDANCE, is_full, java
 from pagewright.functions.text import clean_text, lines, role_fragments
 
 CONTEST, JOB, ACTIVITY, EDUCATION, CAREER, OTHER = "공모전", "채용공고", "대외활동", "교육·프로그램", "커리어 콘텐츠", "기타·확인 필요"
@@ -54,6 +54,7 @@ DESIGN_PROGRAM = (
 )
 GENERIC_ROLE = r"(?:관리|마케팅|영업|기획|운영|개발|연구|인사|재무)(?:\s*(?:직무|직군|부문|담당|매니저))?"
 DESIGN_FRAGMENT = r"(?:디자인|UX|UI|UI\s*/?\s*UX|UX\s*/?\s*UI|브랜드|콘텐츠|그래픽|모션|비주얼|프로덕트|Product\s+Design|Visual\s+Design|Graphic\s+Design)"
+# Application paths.
 SERVICE_PATH, DESIGN_PATH = r"\AService\s*&\s*Business\s*>", r"\ADesign\s*>"
 
 
@@ -96,6 +97,7 @@ def experience(title: Column, categories: Column, body: Column, kind: Column) ->
     useful = F.filter(lines(F.left(body, F.lit(8000))), lambda x: ~has(x, RESUME_GUIDANCE))
     text = F.array_join(F.concat(F.array(title), useful), "\n")
     first = lambda p: F.nullif(F.regexp_extract(text, "(?Ud)" + p, 0), F.lit(""))
+    # How experience is written.
     span = first(r"신입\s*[~·/및-]+\s*(\d+)\s*년")
     either = first(r"경력\s*무관|신입\s*[·/&및]+\s*경력")
     years = first(r"(?:경력|실무\s*경험|관련\s*경험)\s*[:：]?\s*(\d+)\s*년(?:\s*(?:이상|이하|~\s*\d+\s*년))?|(?<!\d)(\d{1,2})\s*년\s*(?:이상|이하)\s*(?:경력|경험)?")
@@ -123,6 +125,7 @@ EMPLOYMENT = [
     ("아르바이트", r"아르바이트|알바"),
     ("파트타임", r"파트\s*타임|part[- ]?time"),
 ]
+# Lines about employment, and about later postings.
 EMPLOYMENT_LINE = r"고용\s*형태|근무\s*형태|근무\s*조건|채용\s*형태|인턴|아르바이트|알바|계약직|파트\s*타임"
 FUTURE_LINE = r"향후|추후|공고에\s*지원|지원하더라도"
 
@@ -137,11 +140,12 @@ def employment_types(title: Column, body: Column, kind: Column) -> Column:
 
 def numbered_role(heading: Column) -> Column:
     """The number of a numbered job line, null for other lines."""
-    return F.nullif(F.regexp_extract(heading, java(r"\A(?:" + r"\s*(\d{1,2})[.)]\s*\S.{0,100}(?:인턴|디자이너|매니저|개발|기획|마케팅|직무|채용)\s*" + r")\z"), 1), F.lit(""))
+    return F.nullif(F.regexp_extract(heading, java(rf"\A(?:{NUMBERED_JOB})\z"), 1), F.lit(""))
 
 
 def is_design_role(title: Column, headings: Column) -> Column:
     """Whether a numbered role is a design role: by its application path, else by its title."""
+    # Words that name a design role.
     explicit = r"(?:디자이너|디자인|Designer|Product\s+Design|Visual\s+Design|Graphic\s+Design|UI\s*/?\s*UX\s+Design|BX\s*/?\s*Brand\s+Design|Content\s+Design)"
     return F.when(F.exists(headings, lambda h: has(h, SERVICE_PATH)), False).when(F.exists(headings, lambda h: has(h, DESIGN_PATH)), True).otherwise(has(title, explicit))
 

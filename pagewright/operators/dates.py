@@ -7,6 +7,7 @@ from pyspark.sql import Column, functions as F
 from pagewright.functions.rules import java
 from pagewright.functions.text import clean_text, lines
 
+# How dates are written, and the lines that hold deadlines.
 FULL = r"(20\d{2})\s*[년./-]\s*(\d{1,2})\s*[월./-]\s*(\d{1,2})\s*일?"
 SHORT = r"(?<!\d)(\d{1,2})\s*[월./-]\s*(\d{1,2})\s*일?"
 TOKEN = r"((?:20\d{2}\s*[년./-]\s*)?\d{1,2}\s*[월./-]\s*\d{1,2}\s*일?)"
@@ -51,6 +52,7 @@ def deadline(body: Column, published: Column, as_of: Column) -> Column:
 def status(title: Column, body: Column, until: Column, as_of: Column) -> Column:
     """Closed if the text says so in its lead or the deadline has passed, else open."""
     lead = F.concat(title, F.lit("\n"), F.left(body, F.lit(2500)))
+    # What says that a posting is closed.
     ended = r"(?:^|\n)\s*(?:지원\s*종료|모집\s*종료|채용\s*마감|접수(?:가|는)?\s*종료(?:되었습니다)?|지원(?:이)?\s*종료(?:되었습니다)?)\s*[.!！。]?\s*(?:$|\n)"
     said = lead.rlike(java(r"마감된\s*공고|공고는\s*비공개")) | lead.rlike(java(ended))
     return F.when(said | F.coalesce(until < as_of, F.lit(False)), "마감").otherwise("모집 중")

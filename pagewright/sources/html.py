@@ -146,6 +146,7 @@ def meta(top: Node, *keys: str) -> str:
 def page_title(top: Node, site: str) -> str:
     """The first usable of: meta titles, h1 in this order, the document's title. Section headings are no titles."""
 
+    # Fixed values below: the meta names, selectors and classes that are looked at, in their order.
     def without_site(t: str) -> str:
         return compiled(rf"\s*[–|-]\s*{rules.loose(site).replace(chr(92) + 's*', ' ')}\s*$").sub("", t) if site else t
 
@@ -178,6 +179,7 @@ def is_category_link(a: Node, rel: bool, href: bool) -> bool:
 def page_categories(top: Node) -> list[str]:
     anchors = [n for n in top.nodes() if n.name == "a"]
     by_rel = [clean_text_py(a.text(" ")) for a in anchors if is_category_link(a, True, False)]
+    # Classes of the boxes that name categories.
     boxes = ("fusion-meta-tb-categories", "fusion-post-cards-meta-tb", "fusion-post-meta")
     later = [clean_text_py(a.text(" ")) for a in anchors if is_category_link(a, False, True) or any(x.has(c) for x in a.above() for c in boxes)]
     return [c for c in dict.fromkeys([*by_rel, meta(top, "article:section"), *later]) if c in CATEGORY_WHITELIST]
@@ -185,6 +187,7 @@ def page_categories(top: Node) -> list[str]:
 
 def content_root(top: Node) -> Node:
     """The candidate with the most distinct useful texts; specific containers come before article and main."""
+    # Containers of the content, the specific ones first.
     selectors = (
         ".fusion-content-tb", ".fusion-post-content-wrapper .post-content", "article .post-content", "article .entry-content",
         "article .fusion-post-content", ".single-post .post-content", ".entry-content", ".post-content", "article", "main",
@@ -335,6 +338,7 @@ def sections_of(text: str) -> Iterator[tuple[str, str]]:
 
 def apply_url(top: Node, url: str) -> str | None:
     """An external link labelled as the way to apply, else the first to a host that takes applications."""
+    # Fixed values below: labels of the way to apply, and hosts that take applications.
     own, second = urlparse(url).netloc.replace("www.", ""), None
     for a in (n for n in top.nodes() if n.name == "a" and "href" in n.attrs):
         try:
