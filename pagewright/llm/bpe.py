@@ -12,7 +12,8 @@ allowed CPU seconds on whole tables (README). `round_trip` therefore folds each
 per worker, in Arrow batches, and is what the query runs.
 
 Defined results: null and empty texts give no ids; repeated rows are encoded each; an empty table
-gives an empty table; very long words take n log n steps in `round_trip`, n^2 in `Vocabulary`.
+gives an empty table; very long words take n log n steps in `round_trip`, n^2 in `Vocabulary`; extra
+columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations

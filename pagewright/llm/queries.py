@@ -13,8 +13,8 @@ URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block",
 
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    said = "\\### Assistant: </turn> ok"
-    own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
+    added = {"conv_id": F.lit(-7), "turn": F.col("id"), "role": F.when(F.col("id") == 0, "user").otherwise("assistant"), "text": F.lit("\\### Assistant: </turn> ok")}
+    own = spark.range(2).select(*[added[f.name].cast(f.dataType).alias(f.name) for f in rows.schema])
     tree = chat.as_tree(rows.unionByName(own))
     return chat.digest(chat.format_paths(tree)).withColumnRenamed("conv", "conv_id")
 

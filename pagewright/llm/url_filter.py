@@ -7,7 +7,12 @@ the first level that refuses it, exact for every key of the universe it was buil
 
 A key is host suffix + path prefix, for the path lengths that occur among the rules. The levels are
 bit arrays of `bits_per_key` bits per encoded key, at most `max_bits` bits (checked), and enter the
-plan as literals. Null URLs and URLs without `://` have empty host and path and fit no rule.
+plan as literals.
+
+Defined results: null URLs and URLs without `://` have empty host and path and fit no rule; repeated
+rows are judged each; of rules that fit the longest wins, and two cannot be equally long; URLs of any
+length are judged whole; an empty table gives an empty result; other columns pass through, but those
+named host, path, rule or verdict are replaced.
 """
 
 from __future__ import annotations
@@ -16,7 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pagewright.llm.common import lower_ascii
+from pagewright.llm.common import lower_ascii, materialise
 
 SEP = "\u0001"
 
@@ -47,27 +52,21 @@ class Bloom:
     words: list[int]
 
     def has(self, key: Column) -> Column:
-        bits = F.lit(",".join(map(str, self.words)))
-        table = F.split(bits, ",").cast("array<bigint>")
-        out = F.lit(True)
-        for at in positions(key, self.level, self.hashes, len(self.words)):
-            word = F.get(table, F.shiftright(at, 6).cast("int"))
-            out = out & (F.call_function("getbit", word, (at % 64).cast("int")) == 1)
-        return out
+        table = F.split(F.lit(",".join(map(str, self.words))), ",").cast("array<bigint>")  # once in the plan, folded to an array
+        probes = F.array(*positions(key, self.level, self.hashes, len(self.words)))
+        return F.forall(probes, lambda at: F.call_function("getbit", F.get(table, F.shiftright(at, 6).cast("int")), (at % 64).cast("int")) == 1)
 
 
 def positions(key: Column, level: int, hashes: int, n_words: int) -> list[Column]:
     return [F.pmod(F.xxhash64(key, F.lit(1000 * level + i)), F.lit(64 * n_words)) for i in range(hashes)]
 
 
-def build_level(keys: DataFrame, level: int, bits_per_key: int, max_bits: int, exceed: bool = False) -> Bloom | None:
+def build_level(keys: DataFrame, level: int, bits_per_key: int, max_bits: int) -> Bloom | None:
     """A level over the distinct keys (column `key`); None if there are none. Set bits are OR-ed on the executors; the driver gets words only."""
     n = keys.count()
     if not n:
         return None
     n_words = max(1, -(-n * bits_per_key // 64))
-    if exceed and 64 * n_words > max_bits:  # more keys than bits: only more false positives
-        n_words = max_bits // 64
     if 64 * n_words > max_bits:
         raise ValueError(f"level {level} needs {64 * n_words} bits; max_bits is {max_bits}")
     hashes = max(1, round(0.69 * bits_per_key))
@@ -92,7 +91,7 @@ class Cascade:
         return out
 
 
-def build_cascade(listed: DataFrame, universe: DataFrame, bits_per_key: int = 10, max_bits: int = 1 << 27, max_levels: int = 40) -> Cascade:
+def build_cascade(listed: DataFrame, universe: DataFrame, bits_per_key: int = 10, max_bits: int = 1 << 24, max_levels: int = 40) -> Cascade:
     """listed, universe: column `key`. The universe may repeat keys; only keys that a level accepts are made distinct.
 
     Only the candidates of level 0 are ever compared with the list, on the executors.
@@ -106,7 +105,7 @@ def build_cascade(listed: DataFrame, universe: DataFrame, bits_per_key: int = 10
             return Cascade(levels)
         levels.append(lv)
         if other is None:
-            other = universe.select("key").filter(lv.has(F.col("key"))).distinct().join(listed, "key", "left_anti").persist()
+            other = materialise(universe.select("key").filter(lv.has(F.col("key"))).distinct().join(listed, "key", "left_anti"), "wrong")
             wrong = other
         else:
             wrong = other.filter(lv.has(F.col("key")))

@@ -41,6 +41,9 @@ def test_bpe_equals_library(spark):
         packed = b"".join(i.to_bytes(4, "little") for i in ids)
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest())
     assert bpe.round_trip(docs(spark, []), RANKS, tokens.PATTERN).count() == 0
+    few = docs(spark, ["a b", "a b"], extra=True).withColumn("n_tokens", F.lit("mine"))
+    twice = bpe.round_trip(few.unionByName(few), RANKS, tokens.PATTERN).collect()
+    assert len(twice) == 4 and {(r.n_tokens, r.ids_sha256) for r in twice} == {(twice[0].n_tokens, twice[0].ids_sha256)}
 
 
 def test_bpe_in_higher_order_functions(spark):
