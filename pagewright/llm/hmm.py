@@ -35,7 +35,7 @@ from pagewright.llm.common import materialise, release
 
 END = b"\n"  # no word can be it
 FLUSH = 200_000
-STORE = 500_000  # tokens a task keeps with their classes
+STORE = 200_000  # tokens a task keeps with their classes
 LEAST_RISE = 1e-4  # nats a token; a round that gains less ends the training
 START_ROUNDS = 30  # at least; from the symmetric start the likelihood hardly rises at first
 START_TOKENS = 200_000
@@ -328,7 +328,7 @@ def score(docs: DataFrame, held_out: Column, states: int = 4, own: int = 2000, r
 
     schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("log_c", pa.float64()), ("hmm", pa.float64()), ("rare", pa.list_(pa.struct([("token", pa.string()), ("tf", pa.int64())])))])
 
-    class_of = np.array([*map(classes.of, counted), *range(classes.n)])
+    class_of = np.array([*map(classes.of, counted), *range(classes.n)], np.int32)
     logs = np.log10(np.array([*counted.values(), *[0] * classes.n]) + 1.0)
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
