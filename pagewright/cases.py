@@ -80,3 +80,137 @@ PAGES = [
     (_PAGE.format(title="마바 디자이너 채용", body="<img src='a.png'>"), ["3"], ["마바 디자이너 채용"], [JOB], ["검토 필요"], ["in_scope"]),
     (_PAGE.format(title="사아 개발자·운영 채용", body="<h3>1. 마케팅 인턴</h3><p>가</p><h3>2. 개발 인턴</h3><p>나</p>"), [], [], [], [], []),
 ]
+
+# What the page parser makes of written pages: title, published, categories, apply url, images, next page, blocks as kind|text.
+_LONG = [f"{'가나다라마바사아자차카타파하' * 3}{i}" for i in range(7)]
+
+
+def _parts(title="제목 미기재", published=None, categories=(), apply=None, images=False, next_href=None, blocks=()):
+    return title, published, list(categories), apply, images, next_href, list(blocks)
+
+
+PAGE_PARTS = [
+    ("", *_parts()),
+    # titles: meta before headings, section headings are none, the site's name goes
+    ("<meta property='og:title' content='주요 업무'><meta name='twitter:title' content='여름 공모전 | SITE'><h1>자격 요건</h1>", *_parts("여름 공모전", blocks=["heading_2|자격 요건"])),
+    ("<title>머리 제목 – SITE</title><main><h1>우대 사항</h1><p>가</p></main>", *_parts("머리 제목", blocks=["heading_2|우대 사항", "paragraph|가"])),
+    ("<h1 class='other'>나중</h1><h1 class='entry-title'>먼저</h1>", *_parts("먼저", blocks=["heading_2|나중", "heading_2|먼저"])),
+    # published: metas in their order, then a time element
+    ("<meta name='date' content='2026-01-02'><meta property='article:published_time' content='2026-01-01T00:00:00Z'>", *_parts(published="2026-01-01T00:00:00Z")),
+    ("<main><time>x</time><time datetime='2026-03-04'>y</time></main>", *_parts(published="2026-03-04")),
+    # categories: links by rel, the section meta, links by address or box; only listed ones, each once
+    ("<meta property='article:section' content='대외활동'><main><a href='/category/x'>취업토크</a><a rel='category tag' href='/c'>신입/인턴</a><a rel='tag' href='/d'>모름</a><div class='fusion-post-meta'><a href='/e'>커리어TV</a></div></main>", *_parts(categories=["신입/인턴", "대외활동", "취업토크", "커리어TV"])),
+    # the way to apply: a label beats a known host, own links and broken ones do not count
+    ("<main><a href='/own'>지원하기</a><a href='https://forms.example/1'>양식</a><a href='https://x]'>지원하기</a><a href='https://y.example/2'>신청하기</a></main>", *_parts(apply="https://y.example/2")),
+    ("<main><a href='mailto:a@b.example'>지원하기</a><a href='https://careers.example/1'>양식</a></main>", *_parts(apply="https://careers.example/1")),
+    # the next page of a listing
+    ("<main><a class='next' href='/d/page/3/'>다음</a></main>", *_parts(next_href="https://site.example/d/page/3/")),
+    ("<main><a class='next' href='/a'>x</a><a rel='next' href='/b'>y</a></main>", *_parts(next_href="https://site.example/b")),
+    # the root: specific containers before article, the richest of them, empty ones pass
+    ("<article><p>밖</p><div class='entry-content'></div><div class='post-content'><p>안</p><p>둘</p></div></article>", *_parts(blocks=["paragraph|안", "paragraph|둘"])),
+    ("<main><p>하나</p></main><article><p>하나</p><p>둘</p></article>", *_parts(blocks=["paragraph|하나", "paragraph|둘"])),
+    ("<body><p>몸</p><footer><p>발</p></footer></body>", *_parts(blocks=["paragraph|몸"])),
+    # blocks of every kind
+    ("<main><h2>가</h2><h5>나</h5><p>다</p><blockquote>라</blockquote><hr><ul><li>마</li></ul><ol><li>바<ul><li>사</li></ul></li></ol><table><tr><th>아</th><td>자</td></tr><tr><td></td></tr></table><img src='x'></main>",
+     *_parts(images=True, blocks=["heading_2|가", "heading_3|나", "paragraph|다", "quote|라", "divider|", "bulleted_list_item|마", "numbered_list_item|바", "bulleted_list_item|사", "paragraph|아 | 자"])),
+    # lines of a paragraph: bullets, decoration, the label of the way to apply
+    ("<main><p>• 하나<br>- 둘<br>-3도<br>★★★<br>지원하기<br>셋</p></main>", *_parts(blocks=["bulleted_list_item|하나", "bulleted_list_item|둘", "paragraph|-3도", "paragraph|셋"])),
+    # a strong line that is a section title is a heading; so is a bracketed one or one that fills its line
+    ("<main><p><strong>주요 업무</strong></p><p>가</p><p>[자격 요건] 나<br>우대 사항<br>다</p></main>", *_parts(blocks=["heading_3|주요 업무", "paragraph|가", "heading_3|자격 요건", "paragraph|나", "heading_3|우대 사항", "paragraph|다"])),
+    ("<main><p>자격 요건을 갖춘 분</p></main>", *_parts(blocks=["paragraph|자격 요건을 갖춘 분"])),
+    # what trails is cut from a paragraph, and ends the walk in a heading
+    ("<main><p>가 추천 콘텐츠 나</p><p>다</p><h3>최신 댓글</h3><p>라</p></main>", *_parts(blocks=["paragraph|가", "paragraph|다"])),
+    # a text twice in one paragraph
+    ("<main><p>한 줄<br>두 줄<br>한 줄<br>두 줄</p><p>같은 글 같은 글</p></main>", *_parts(blocks=["paragraph|한 줄", "paragraph|두 줄", "paragraph|같은 글"])),
+    # the title does not open the body
+    ("<main><h1>제목이다</h1><p>가</p></main>", *_parts("제목이다", blocks=["paragraph|가"])),
+    # noise inside the root
+    ("<main><nav><p>x</p></nav><script>var a = '<p>b</p>'</script><p>가<style>p{}</style></p><aside><p>y</p></aside></main>", *_parts(blocks=["paragraph|가"])),
+    # adjacent equal blocks are one, headings stay; a heading that comes again without content goes
+    ("<main><p>가</p><p>가</p><h3>나</h3><h3>나</h3><p>다</p><h3>나</h3></main>", *_parts(blocks=["paragraph|가", "heading_3|나", "heading_3|나", "paragraph|다"])),
+    # two renderings of a long body: one stays
+    ("<main>" + "".join(f"<p>{t}</p>" for t in _LONG * 2) + "</main>", *_parts(blocks=[f"paragraph|{t}" for t in _LONG])),
+    # five equal blocks are too few to be a rendering
+    ("<main>" + "".join(f"<p>{t}</p>" for t in _LONG[:5] * 2) + "</main>", *_parts(blocks=[f"paragraph|{t}" for t in _LONG[:5] * 2])),
+    # the complete one of two renderings stays
+    ("<main><h3>주요 업무</h3>" + "".join(f"<p>{t}</p>" for t in _LONG[:6]) + "<h3>주요 업무</h3>" + "".join(f"<p>{t}</p>" for t in _LONG) + "</main>", *_parts(blocks=["heading_3|주요 업무", *[f"paragraph|{t}" for t in _LONG]])),
+]
+
+# Blocks of one section: does a long run come again?
+REPETITIONS = [
+    ([("paragraph", t) for t in [*_LONG[:4], "사이", *_LONG[:4]]], True),
+    ([("paragraph", t) for t in [*_LONG[:3], "사이", "둘", *_LONG[:3]]], False),
+    ([("paragraph", t) for t in _LONG[:4]] + [("heading_3", "나")] + [("paragraph", t) for t in _LONG[:4]], False),
+    ([("paragraph", str(i)) for i in [*range(4), 9, *range(4)]], False),
+    ([("paragraph", t) for t in _LONG[:4]] + [("divider", ""), ("paragraph", "")] + [("paragraph", t) for t in _LONG[:4]], True),
+    ([("paragraph", f"Ab{'c' * 40}{i}") for i in range(4)] + [("paragraph", f"aB{'C' * 40}{i}") for i in range(4)], True),
+]
+
+# Listing pages by number, status and post ids: the posts found in order, and their categories.
+LISTING = [(1, "ok", [3, 1, 3]), (2, "ok", [1]), (3, "ok", [2]), (4, "ok", [2]), (5, "ok", [1]), (6, "ok", [9])]
+LISTING_SHORT = [(1, "ok", [3, 1]), (2, "ok", [4]), (3, "not_found", []), (4, "ok", [8])]
+DISCOVERED = [(LISTING, 0, ["3", "1", "2"]), (LISTING, 2, ["3", "1"]), (LISTING, 1, ["3", "1"]), (LISTING_SHORT, 0, ["3", "1", "4"]), ([(1, "not_found", [])], 3, [])]
+
+# Whole pages: the reasons for a second look, and the warnings of a run.
+QUALITY = [
+    (PAGES[0][0], [], ["no_employment_type"]),
+    (_PAGE.format(title="마바 디자이너 채용", body="<img src='a.png'>"), ["missing_body", "missing_job_duties", "image_only_content"], ["empty_body", "no_employment_type"]),
+    (_PAGE.format(title="주요 업무", body="<p>글</p>"), ["suspicious_title"], ["unclassified"]),
+    (_PAGE.format(title="가 디자이너 채용", body="<p>고용 형태: 정규직</p><h3>주요 업무</h3><p>가</p><h3>자격 요건</h3><h3>우대 사항</h3><h3>자소서 문항</h3><p>자기소개서 제출</p><h3>사전 과제</h3>"), ["empty_qualifications_section", "empty_preferred_section", "empty_essay_questions_section", "empty_pre_assignment_section"], []),
+    (_PAGE.format(title="가 디자이너 채용", body="<p>인턴</p><h3>주요 업무</h3>" + "".join(f"<p>{t}</p>" for t in [*_LONG[:4], "사이", *_LONG[:4]])), ["unresolved_repetition"], []),
+    (_PAGE.format(title="제1회 포스터 공모전", body="<p>누구나</p>"), [], []),
+]
+
+# Body lines and section texts: do the sections stand in the body and hold content only?
+CONSISTENT = [
+    (["가나다", "라"], "가나다", "라", True), (["가나다", "라"], "가나", "", True), (["가나다"], "나다", "", False), (["가", "https://x.example/a"], "가\nhttps://x.example/a", "", False),
+    (["주요 업무", "가"], "주요 업무\n가", "", False), (["가", "★★★"], "가\n★★★", "", False), (["1. UI/UX 디자이너 인턴", "가"], "", "1. UI/UX 디자이너 인턴", False), (["1. UI 디자이너 인턴", "가"], "", "1. UI 디자이너 인턴", True), (["가"], "", "", True), ([], "가", "", False),
+]
+
+# Blocks: those short enough to be a heading, with their section.
+CANDIDATES = [
+    (_b("h 자격 요건", "💼 주요 업무", "글"), ["0|heading_3|자격 요건|자격 요건|qualifications", "1|paragraph|💼 주요 업무|주요 업무|duties", "2|paragraph|글|글|-"], True, False),
+    (_b("가" * 101, "h 우대 사항", "- 나"), ["1|heading_3|우대 사항|우대 사항|preferred", "2|bulleted_list_item|나|나|-"], False, True),
+    (_b("가" * 100), ["0|paragraph|" + "가" * 100 + "|" + "가" * 100 + "|-"], False, False),
+    ([], [], False, False),
+]
+
+# Lines: an address alone, never content, guidance on resumes, a cover letter asked for, a section title, trailing noise.
+LINES = [
+    ("https://x.example/a", True, True, False, False, False, False), ("자세히: https://x.example/a", False, False, False, False, False, False), ("사전과제 확인하기", False, True, False, False, False, False),
+    ("Design > Visual", False, True, False, False, False, False), ("이력서에 경력을 기재", False, False, True, False, False, False), ("국문 이력서 및 자기소개서 제출", False, False, False, True, False, False),
+    ("자기소개서를 읽고", False, False, False, False, False, False), ("[주요 업무]", False, True, False, False, True, False), ("주요 업무 (공통):", False, False, False, False, True, False), ("함께 보면 좋은 커리어 정보", False, False, False, False, False, True), ("★★★", False, True, False, False, False, False),
+]
+
+# A property's kind and what it holds: its text.
+PROPERTIES = [("title", ["가", "나"], None, None, "가나"), ("rich_text", [], "u", "n", ""), ("url", ["가"], "https://x.example/", None, "https://x.example/"), ("select", None, None, "마감", "마감"), ("url", None, None, None, ""), ("number", ["1"], "u", "n", "")]
+
+_STRINGS = ["key_duties", "target_audience", "qualifications", "preferred_qualifications", "essay_questions", "pre_assignment"]
+# Stored columns: the required ones that are missing, of a wrong type, and those a migration adds.
+SCHEMAS = [
+    (", ".join(f"{n} string" for n in _STRINGS), [], [], []),
+    ("title string, key_duties string, target_audience string", _STRINGS[2:], [], _STRINGS[2:]),
+    ("key_duties int, target_audience string, qualifications string, preferred_qualifications string", _STRINGS[4:], ["key_duties"], _STRINGS[4:]),
+    ("qualifications array<string>", [n for n in _STRINGS if n != "qualifications"], ["qualifications"], ["wrong type: qualifications"]),
+]
+
+# Settings as written: mode, dry run, pages to read, posts at most, delay.
+SETTINGS = [
+    ({}, "recent", False, 3, 0, "2.5"), ({"MODE": "full", "DRY_RUN": " Yes "}, "full", True, 0, 0, "2.5"), ({"LIST_PAGES": "7", "MODE": " full "}, "full", False, 7, 0, "2.5"),
+    ({"MAX_POSTS": " ", "RECENT_PAGES": "5", "DELAY_SECONDS": "1.5", "DRY_RUN": "no"}, "recent", False, 5, 0, "1.5"), ({"MODE": "all"}, "ValueError", False, 0, 0, ""), ({"MAX_POSTS": "x"}, "ValueError", False, 0, 0, ""),
+]
+
+# Answers of a site (0: no connection), the robots file first: what a fetch ends with, the waits, the requests.
+FETCHES = [
+    ("/a", [(404, ""), (200, "x")], "ok", [], 2), ("/private/a", [(200, "User-agent: *\nDisallow: /private")], "blocked", [], 1), ("/a", [(404, ""), (404, "")], "not_found", [], 2),
+    ("/a", [(404, ""), (403, "")], "blocked", [], 2), ("/a", [(404, ""), (429, "")], "rate_limited", [], 2), ("/a", [(404, ""), (410, "")], "error", [], 2), ("/a", [(404, ""), (0, ""), (200, "x")], "ok", ["2"], 3),
+    ("/a", [(404, ""), (500, ""), (503, ""), (200, "x")], "ok", ["3", "6"], 4), ("/a", [(0, ""), (0, ""), (0, ""), (0, "")], "error", ["2", "4"], 4),
+]
+
+# Answers of a store: status, header of the wait, body; what a request ends with, the waits, the requests.
+REQUESTS = [
+    ("t", [(200, "", '{"id": "a"}')], "a", [], 1), ("t", [(204, "", "")], "", [], 1), ("t", [(429, "7", ""), (429, "", ""), (200, "", '{"id": "b"}')], "b", ["7", "4"], 3),
+    ("t", [(500, "", "")] * 4 + [(200, "", '{"id": "c"}')], "c", ["2", "4", "6", "8"], 5), ("t", [(500, "", "down")] * 5, "HTTP 500 [unknown_error] GET /x: down", ["2", "4", "6", "8"], 5),
+    ("t", [(400, "", '{"code": "bad", "message": "no such", "request_id": "r1"}')], "HTTP 400 [bad] GET /x: no such (request_id=r1)", [], 1), ("t", [(429, "1", "")] * 5, "GET /x was refused 5 times", ["1"] * 5, 5),
+    ("t", [(404, "", "")], "HTTP 404 [unknown_error] GET /x: no body", [], 1), (" ", [], "the remote store needs a token", [], 0),
+]

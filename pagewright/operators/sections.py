@@ -50,6 +50,11 @@ def labelled(blocks: Column) -> Column:
     return let(heads, over)
 
 
+def combined(parts: Column) -> Column:
+    """The lines of several parts in order, each once, without empty ones."""
+    return F.array_distinct(F.filter(F.flatten(parts), lambda t: t != ""))
+
+
 def section(blocks: Column, kind: str | None, most: int = 1800, patterns: list[str] | None = None, combine: bool = False) -> Column:
     """The text under headings of `kind`, or under headings that hold one of `patterns`.
 
@@ -87,7 +92,7 @@ def section(blocks: Column, kind: str | None, most: int = 1800, patterns: list[s
 
     found = F.aggregate(blocks, zero, step, lambda a: F.when(a["on"], closed(a)).otherwise(a["done"]))
     if combine:
-        chosen = F.array_distinct(F.flatten(F.transform(found, lambda c: F.filter(F.transform(c.out, clean_text), lambda t: (t != "") & ~decoration_only(t)))))
+        chosen = combined(F.transform(found, lambda c: F.filter(F.transform(c.out, clean_text), lambda t: ~decoration_only(t))))
     else:
         chosen = F.coalesce(F.array_max(F.transform(found, lambda c: F.struct(c.prio.alias("prio"), c.start.alias("start"), c.out.alias("out")))).out, F.array().cast(EMPTY))
     return join_complete_lines(F.filter(chosen, lambda t: ~decoration_only(t)), most)

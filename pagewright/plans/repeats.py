@@ -1,15 +1,20 @@
 """Repeated block sequences: the fixpoint that leaves one of several renderings of a body.
 
 The search for a longest repeat is run over the small array of one page, inside the HTML function.
-`repeated_runs` is the relational form for tables of lines or blocks.
+`repeated_runs` is the form for tables whose rows hold arrays of lines or blocks.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from pagewright.functions import rules
 from pagewright.functions.rules import compiled
+from pagewright.functions.ship import ship
 from pagewright.functions.text import clean_text_py
 
 Block = tuple[str, str]
@@ -46,7 +51,7 @@ def longest_repeat(blocks: list[Block], least: int, chars: int, whole: bool = Fa
 def completeness(blocks: list[Block]) -> tuple[int, ...]:
     """What makes one rendering better than another, most important first."""
     heads = [i for i, (k, _) in enumerate(blocks) if k.startswith("heading")]
-    ends = dict(zip(heads, [*heads[1:], len(blocks)], strict=True))
+    ends = dict(zip(heads, [*heads, len(blocks)][1:], strict=True))  # none without headings
     filled = {i: any(k != "divider" and t for k, t in blocks[i + 1 : end]) for i, end in ends.items()}
     duties = compiled("|".join(rules.PATTERNS["duties"]))
     late = compiled("|".join(p for k in ("audience", "preferred", "conditions", "process") for p in rules.PATTERNS[k]))
@@ -103,22 +108,54 @@ def adjacent_distinct(blocks: DataFrame, key: list[str], order: list[str], value
     return blocks.withColumn("__same", same & ~first).filter(~F.col("__same")).drop("__same")
 
 
-def repeated_runs(blocks: DataFrame, least: int, chars: int) -> DataFrame:
-    """key, first, second, size of the longest repeat per key in blocks (key, pos, text), by diagonals of equal pairs.
+def best(rows: DataFrame, key: list[str], by: list[Column], kept: list[str]) -> DataFrame:
+    """key and the kept columns of each key's greatest row by the columns of `by`, most important first; combined before the shuffle."""
+    return rows.groupBy(*key).agg(F.max_by(F.struct(*kept), F.struct(*by)).alias("__best")).select(*key, "__best.*")
+
 
-    Pairs are made of equal texts of one key, so their number follows the repeats inside a document.
+def longest_run(texts: np.ndarray, lengths: np.ndarray, least: int, chars: int) -> tuple[int, int, int] | None:
+    """longest_repeat() over whole columns: texts are numbers that are equal where the texts are. Gap by gap, so memory is that of one row of blocks."""
+    n, found = len(texts), None
+    upto = np.concatenate([[0], np.cumsum(lengths)])
+    if n < 2 or len(np.unique(texts)) == n:
+        return None
+    for gap in range(least, n - least + 1):
+        if found and min(gap, n - gap) < found[2]:
+            if gap > n - gap:
+                break
+            continue
+        same = texts[: n - gap] == texts[gap:]
+        if not same.any():
+            continue
+        # blocks in common from i on: the place of the next difference less i
+        at = np.arange(n - gap)
+        common = np.minimum.accumulate(np.where(same, n - gap, at)[::-1])[::-1] - at
+        size = np.minimum(common, gap)
+        i = np.flatnonzero((size >= least) & (upto[at + size] - upto[at] >= chars))
+        if len(i):
+            k = i[np.argmax(size[i])]  # the first of the longest
+            if found is None or (-size[k], k + gap, k) < (-found[2], found[1], found[0]):
+                found = (int(k), int(k) + gap, int(size[k]))
+    return found
+
+
+def repeated_runs(rows: DataFrame, key: str, texts: Column, least: int, chars: int) -> DataFrame:
+    """key, first, second, size (from 0) of the longest run of texts that comes again without overlap, for each row that has one.
+
+    A row's array is searched where it stands: no shuffle, and no pairs of equal texts are ever made.
     """
-    a = blocks.select("key", F.col("pos").alias("i"), F.xxhash64("text").alias("h"), F.length("text").alias("n"))
-    pairs = a.join(a.select("key", F.col("i").alias("j"), "h"), ["key", "h"]).filter(F.col("j") >= F.col("i") + least).withColumn("gap", F.col("j") - F.col("i"))
-    diagonal = W.partitionBy("key", "gap").orderBy("i")
-    runs = pairs.withColumn("run", F.col("i") - F.row_number().over(diagonal))
-    back = W.partitionBy("key", "gap", "run").orderBy(F.col("i").desc())
-    runs = runs.withColumn("left", F.row_number().over(back)).withColumn("size", F.least("left", "gap"))
-    total = F.sum("n").over(back.rowsBetween(W.unboundedPreceding, 0))
-    sized = runs.withColumn("upto", total)
-    # characters of the first `size` blocks from i: all to the run's end less those beyond
-    beyond = sized.select("key", "gap", "run", F.col("left").alias("l"), F.col("upto").alias("after"))
-    need = sized.withColumn("l", F.col("left") - F.col("size")).join(beyond, ["key", "gap", "run", "l"], "left")
-    good = need.filter((F.col("size") >= least) & (F.col("upto") - F.coalesce("after", F.lit(0)) >= chars))
-    best = F.row_number().over(W.partitionBy("key").orderBy(F.col("size").desc(), "j", "i"))
-    return good.withColumn("k", best).filter("k = 1").select("key", F.col("i").alias("first"), F.col("j").alias("second"), "size")
+    ship(rows.sparkSession)
+
+    @F.pandas_udf("first int, second int, size int")
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for s in parts:
+            out = []
+            for ts in s:
+                ts = [] if ts is None else ts
+                numbers: dict = {}
+                ids = np.fromiter((numbers.setdefault(t, len(numbers)) for t in ts), np.int64, len(ts))
+                out.append(longest_run(ids, np.fromiter(map(len, ts), np.int64, len(ts)), least, chars) or (None, None, None))
+            yield pd.DataFrame(out, columns=["first", "second", "size"]).astype("Int32")
+
+    found = rows.select(key, run.asNondeterministic()(texts).alias("r"))  # run once, though filtered on
+    return found.filter("r.size is not null").select(key, "r.*")

@@ -9,15 +9,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from pagewright import cases
 from pagewright.functions import rules, text, urls
+from pagewright.functions.settings import from_env
 from pagewright.functions.ship import ship
+from pagewright.functions.tables import spread
 from pagewright.functions.vocabulary import GENERIC_PREFIXES
-from pagewright.operators import classify, dates, sections, sync, target
+from pagewright.operators import classify, dates, quality, sections, sync, target
 from pagewright.plans import repeats
 from pagewright.plans.records import content_hash, page_rows, preview, records, with_scope
-from pagewright.sources.listing import first_seen
+from pagewright.sources.http import PoliteClient
+from pagewright.sources.listing import discover, first_seen
+from pagewright.sources.remote import RemoteClient, RemoteError
 
 c = F.col
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -189,22 +194,22 @@ s AS (SELECT *, least(count(*) OVER (PARTITION BY doc_id, gap, run ORDER BY i RO
 t AS (SELECT s.doc_id, s.i, s.j, s.size, (SELECT sum(length(l.text)) FROM l WHERE l.doc_id = s.doc_id AND l.i BETWEEN s.i AND s.i + s.size - 1) AS chars FROM s)
 SELECT doc_id, CAST(i AS INTEGER) AS first, CAST(j AS INTEGER) AS second, CAST(size AS INTEGER) AS size FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY size DESC, j, i) AS k FROM t WHERE chars >= 20) WHERE k = 1""")
 def repeated_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select(c("doc_id").alias("key"), F.posexplode(text.lines(c("text"))).alias("pos", "text"))
-    got = repeats.repeated_runs(docs.select("key", (c("pos") + 1).alias("pos"), F.trim("text").alias("text")), 1, 20)
-    return got.select(c("key").alias("doc_id"), "first", "second", "size")
+    docs = spread(read(spark, sf_dir, "documents").select("doc_id", F.transform(text.lines(c("text")), F.trim).alias("ls")))
+    got = repeats.repeated_runs(docs, "doc_id", c("ls"), 1, 20)
+    return got.select("doc_id", (c("first") + 1).alias("first"), (c("second") + 1).alias("second"), "size")
 
 
 @query("""SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text FROM (SELECT doc_id, line, min(i) AS i FROM (SELECT doc_id, trim(unnest(string_split(text, chr(10)))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)
 WHERE line <> '' GROUP BY doc_id, line) GROUP BY doc_id""")
 def combined_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = F.array_distinct(F.filter(F.transform(text.lines(c("text")), lambda x: F.trim(x)), lambda x: x != ""))
+    got = sections.combined(F.array(F.transform(text.lines(c("text")), F.trim)))
     return read(spark, sf_dir, "documents").select("doc_id", F.array_join(got, "\n").alias("text")).filter("text <> ''")
 
 
 @query("SELECT l_orderkey, l_linenumber FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity DESC, l_extendedprice DESC, l_linenumber) AS k FROM lineitem) WHERE k = 1")
 def best_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    best = F.max_by("l_linenumber", F.struct("l_quantity", "l_extendedprice", -c("l_linenumber")))
-    return read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(best.alias("l_linenumber"))
+    got = repeats.best(read(spark, sf_dir, "lineitem"), ["l_orderkey"], [c("l_quantity"), c("l_extendedprice"), -c("l_linenumber")], ["l_linenumber"])
+    return got.select("l_orderkey", "l_linenumber")
 
 
 @query("""SELECT o_orderkey, sha256('{"key":' || o_orderkey || ',"status":"' || o_orderstatus || '","user":' || o_custkey || '}') AS content_hash FROM orders""")
@@ -299,6 +304,226 @@ def filter_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     scope = F.element_at(F.array(F.lit("in_scope"), F.lit("non_design_role"), F.lit("ambiguous_mixed_roles")), (c("doc_id") % 3 + 1).cast("int"))
     return sync.filter_counters(read(spark, sf_dir, "documents").select(classify.scope_bucket(scope).alias("bucket")))
 
+truth("line_predicates", "s string", {"url_only": lambda: rules.is_full(rules.URL_ONLY, c("s")), "leak": lambda: rules.is_leak(c("s")), "resume": lambda: c("s").rlike(rules.java(rules.RESUME_GUIDANCE)), "cover_letter": lambda: rules.is_full(rules.ESSAY_SUBMISSION, c("s")), "section_title": lambda: rules.is_full(rules.SECTION_TITLE, c("s")), "trailing": lambda: c("s").rlike(rules.java(rules.TRAILING_NOISE))}, cases.LINES)
+truth("property_text", "k string, ts array<string>, u string, n string", {"plain": lambda: target.plain_text(c("k"), c("ts"), c("u"), c("n"))}, cases.PROPERTIES)
+
+
+@query(expected(cases.PAGE_PARTS, ["title", "published_raw", "categories", "apply_url", "had_images", "next_href", "parts"]))
+def page_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All that the page function finds on written pages."""
+    rows = [(i, "https://site.example/archives/1", case[0]) for i, case in enumerate(cases.PAGE_PARTS)]
+    got = page_rows(spark.createDataFrame(rows, "case_id int, url string, html string"), "SITE", keep=("case_id",))
+    parts = F.transform("blocks", lambda b: F.concat(b.kind, F.lit("|"), b.text))
+    return got.select("case_id", "title", "published_raw", c("site_categories").alias("categories"), "apply_url", "had_images", "next_href", parts.alias("parts"))
+
+
+@query(expected(cases.REPETITIONS, ["repeats"]))
+def unresolved_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    rows = [(i, list(case[0])) for i, case in enumerate(cases.REPETITIONS)]
+    return spark.createDataFrame(rows, f"case_id int, blocks array<{_BLOCKS}>").select("case_id", quality.unresolved_repetition(c("blocks")).alias("repeats"))
+
+
+@query(expected([(None, *case[2:]) for case in cases.DISCOVERED], ["posts"]))
+def discovered_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written listings to the posts found, in order."""
+    out = None
+    for i, (listing, budget, _) in enumerate(cases.DISCOVERED):
+        rows = [(n, f"https://site.example/d/page/{n}/", "".join(f"<li><a href='/archives/{p}?x=1'>t</a></li>" for p in posts), s) for n, s, posts in listing]
+        pages = spark.createDataFrame(rows, "page_no int, page_url string, html string, status string")
+        every = F.array_sort(F.collect_list(F.struct("page_no", "pos", F.regexp_extract("url", r"(\d+)$", 1).alias("id"))))  # of a written case
+        got = discover(pages, "site.example", budget).agg(every.alias("all")).select(F.lit(i).alias("case_id"), F.transform("all", lambda x: x.id).alias("posts"))
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
+@query(expected(cases.QUALITY, ["reasons", "warnings"]))
+def quality_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reasons for a second look at written pages, and the warnings of a run."""
+    rows = [(f"https://site.example/archives/{i}", case[0]) for i, case in enumerate(cases.QUALITY)]
+    got = records(spark.createDataFrame(rows, "url string, html string"), "2026-08-12", "SITE")
+    named = F.array_compact(F.array(*[F.when(c("quality_reasons")[n], n) for n in quality.REASONS]))
+    said = quality.warnings(c("body_blocks"), c("content_type"), c("employment_types"))
+    return got.select(c("post_id").cast("int").alias("case_id"), named.alias("reasons"), said.alias("warnings"))
+
+
+@query(expected([(None, case[3]) for case in cases.CONSISTENT], ["consistent"]))
+def consistent_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = [(i, [("paragraph", t) for t in case[0]], *case[1:3]) for i, case in enumerate(cases.CONSISTENT)]
+    df = spark.createDataFrame(rows, f"case_id int, blocks array<{_BLOCKS}>, d string, q string").withColumn("m", sections.labelled(c("blocks")))
+    return df.select("case_id", quality.consistent(c("m"), {"key_duties": c("d"), "qualifications": c("q"), "preferred_qualifications": F.lit("")}).alias("consistent"))
+
+
+@query(expected(cases.CANDIDATES, ["candidates", "has_duties", "has_preferred"]))
+def heading_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = cases_with_blocks(spark, cases.CANDIDATES)
+    shown = F.transform(sections.heading_candidates(c("m")), lambda x: F.concat_ws("|", x["index"].cast("string"), x["kind"], x["text"], x["normalized"], F.coalesce(x["section"], F.lit("-"))))
+    return df.select("case_id", shown.alias("candidates"), sections.has_section(c("m"), "duties").alias("has_duties"), sections.has_section(c("m"), "preferred").alias("has_preferred"))
+
+
+def settled(name: str, schema: str, settle: Callable, found: list[tuple], width: int) -> None:
+    """A query over written cases of what the driver settles before a run; settle gives the columns of schema for a case's first `width` values."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return spark.createDataFrame([(i, *settle(*case[:width])) for i, case in enumerate(found)], "case_id int, " + schema)
+
+    QUERIES[name] = run
+    SQL[name] = expected([(None, *case[width:]) for case in found], [x.split()[0] for x in schema.split(", ")])
+
+
+def schema_found(ddl: str) -> tuple:
+    wanted = StructType.fromDDL(ddl)
+    needed = {n: wanted_type for n, wanted_type in ((n, target.SCHEMA[n].dataType) for n in target.SECTIONS)}
+    missing, wrong = target.schema_problems(wanted)
+    added, unfit = target.schema_problems(wanted, needed)
+    return missing, wrong, [f"wrong type: {n}" for n in unfit] or added
+
+
+def settings_found(given: dict[str, str]) -> tuple:
+    try:
+        s = from_env({"PAGEWRIGHT_" + n: v for n, v in given.items()})
+    except ValueError:
+        return "ValueError", False, 0, 0, ""
+    return s.mode, s.dry_run, s.page_budget(), s.max_posts, str(s.delay_seconds)
+
+
+def fetched(href: str, answers: list[tuple[int, str]]) -> tuple:
+    asked, waits = [], []
+
+    def get(url: str, timeout: float) -> tuple[int, str]:
+        asked.append(url)
+        code, html = answers[len(asked) - 1]
+        if not code:
+            raise OSError("no connection")
+        return code, html
+
+    client = PoliteClient("https://site.example/", delay=0, get_once=get, sleep=lambda s: waits.append(f"{s:g}"), clock=lambda: 0.0)
+    return client.fetch(href)[1], waits, len(asked)
+
+
+def requested(token: str, answers: list[tuple[int, str, str]]) -> tuple:
+    asked, waits = [], []
+
+    def send(method: str, url: str, headers: dict, body: bytes | None, timeout: float):
+        asked.append(url)
+        code, wait, text = answers[len(asked) - 1]
+        return code, {"Retry-After": wait} if wait else {}, text
+
+    try:
+        got = RemoteClient("https://store.example", token, 0, send_once=send, sleep=lambda s: waits.append(f"{s:g}"), clock=lambda: 0.0).request("GET", "/x")
+        said = got.get("id", "")
+    except (RemoteError, ValueError) as e:
+        said = str(e)
+    return said, waits, len(asked)
+
+
+settled("schema_differences", "missing array<string>, wrong array<string>, added array<string>", schema_found, cases.SCHEMAS, 1)
+settled("settings_read", "mode string, dry_run boolean, pages int, max_posts int, delay string", settings_found, cases.SETTINGS, 1)
+settled("fetch_states", "status string, waits array<string>, requests int", fetched, cases.FETCHES, 2)
+settled("store_requests", "answer string, waits array<string>, requests int", requested, cases.REQUESTS, 2)
+
+
+def document_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as records: their texts in every field that the target cuts."""
+    docs = lines_as_records(spark, sf_dir).join(read(spark, sf_dir, "documents").select(c("doc_id").cast("string").alias("post_id"), "doc_id", "text", "lang"), "post_id")
+    own = {n: c("text") for n in ("title", "organization", "role_or_program", "experience_raw", "location", "benefits_prize", "activity_period", "target_audience", "qualifications")}
+    own |= {"content_type": F.when(c("doc_id") % 2 == 0, classify.JOB).otherwise("공모전"), "site_categories": F.array("lang"), "status": F.when(c("doc_id") % 5 == 0, "마감").when(c("doc_id") % 5 == 1, "끝").otherwise("모집 중")}
+    own |= {"experience_class": F.lit("신입"), "collection_status": F.lit("정상"), "employment_types": F.when(c("doc_id") % 3 == 0, F.array(F.lit("정규직"), F.lit("자원봉사"))).otherwise(F.array(F.lit("인턴")))}
+    rest = {f.name: F.lit(None).cast(f.dataType) for f in target.SCHEMA if f.name not in own and f.name not in docs.columns}
+    return docs.withColumns(own | rest)
+
+
+_CUT = ["title", "organization", "role_or_program", "experience_raw", "location", "benefits_prize", "activity_period"]
+
+
+@query(f"""SELECT CAST(doc_id AS VARCHAR) AS post_id, {', '.join(f"sha256(left(text, {1900 if n == 'title' else 1800})) AS {n}" for n in _CUT)},
+sha256(CASE WHEN doc_id % 2 = 0 THEN '' ELSE text END) AS target_audience, sha256(CASE WHEN doc_id % 2 = 0 THEN text ELSE '' END) AS qualifications,
+[lang] AS site_categories, DATE '2026-08-12' AS last_checked, false AS changed FROM documents""")
+def target_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records as rows of the target: cut, and blanked by their kind."""
+    got = target.properties(document_records(spark, sf_dir), "2026-08-12")
+    hashed = [F.sha2(F.encode(n, "UTF-8"), 256).alias(n) for n in [*_CUT, "target_audience", "qualifications"]]
+    return got.select("post_id", *hashed, "site_categories", "last_checked", "changed")
+
+
+@query("""SELECT CAST(doc_id AS VARCHAR) AS post_id, 'status' AS "column", '끝' AS value FROM documents WHERE doc_id % 5 = 1
+UNION ALL SELECT CAST(doc_id AS VARCHAR), 'employment_types', '자원봉사' FROM documents WHERE doc_id % 3 = 0""")
+def outside_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return target.outside_domains(document_records(spark, sf_dir))
+
+
+def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = hashed_orders(spark, sf_dir).withColumn("collection_status", F.lit("정상"))
+    return got.withColumns({f.name: F.lit(None).cast(f.dataType) for f in target.SCHEMA if f.name not in got.columns})
+
+
+def held_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two of three orders, every fifth with another hash; every eleventh also stands there from a year before."""
+    old = order_records(spark, sf_dir).filter(c("o_orderkey") % 3 != 0)
+    old = old.withColumns({"content_hash": F.when(c("o_orderkey") % 5 == 0, F.lit("old")).otherwise(c("content_hash")), "last_checked": F.lit("2026-01-01").cast("date"), "changed": F.lit(False)})
+    older = old.filter(c("o_orderkey") % 11 == 0).withColumns({"content_hash": F.lit("older"), "last_checked": F.lit("2025-01-01").cast("date")})
+    return old.unionByName(older).select(*target.SCHEMA.names)
+
+
+def gone_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_records(spark, sf_dir).select(c("source_url").alias("url"), F.when(c("o_orderkey") % 7 == 0, "not_found").otherwise("ok").alias("status"))
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS post_id, CASE WHEN o_orderkey % 3 = 0 THEN 'skipped' ELSE 'updated' END AS outcome FROM orders WHERE o_orderkey % 7 = 0")
+def gone_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sync.missing(gone_orders(spark, sf_dir), held_orders(spark, sf_dir))
+
+
+@query("""WITH o AS (SELECT *, o_orderkey AS k, sha256(o_orderkey || '|' || o_orderstatus) AS h, CASE WHEN o_orderstatus = 'O' THEN '모집 중' ELSE '마감' END AS s FROM orders)
+SELECT CAST(k AS VARCHAR) AS post_id, CASE WHEN k % 7 = 0 THEN '확인 필요' ELSE s END AS status, CASE WHEN k % 7 = 0 THEN '검토 필요' ELSE '정상' END AS collection_status,
+k % 7 <> 0 AND k % 3 <> 0 AND k % 5 = 0 AS changed, CASE WHEN k % 7 = 0 OR k % 3 = 0 OR k % 5 = 0 THEN DATE '2026-08-12' ELSE DATE '2026-01-01' END AS last_checked,
+CASE WHEN k % 7 = 0 AND k % 5 = 0 THEN 'old' ELSE h END AS content_hash FROM o WHERE k % 7 <> 0 OR k % 3 <> 0""")
+def target_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target after a run: created, changed and untouched records, and those whose page is gone."""
+    held = held_orders(spark, sf_dir)
+    decided = sync.changes(order_records(spark, sf_dir).filter(c("o_orderkey") % 7 != 0).drop("changed"), held)
+    got = sync.apply_changes(held, decided, sync.missing(gone_orders(spark, sf_dir), held), "2026-08-12")
+    return got.select("post_id", "status", "collection_status", "changed", "last_checked", "content_hash")
+
+
+@query("""WITH u AS (SELECT url, min(CASE WHEN page_id % 2 = 0 THEN page_id ELSE 1000000 + page_id END) AS rank FROM pages GROUP BY url)
+SELECT url FROM u ORDER BY rank, url LIMIT 30""")
+def limited_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 30 urls to visit; what is rechecked falls to the limit first."""
+    pages = read(spark, sf_dir, "pages")
+    found = pages.filter("page_id % 2 = 0").select("url", F.lit(1).alias("page_no"), c("page_id").alias("pos"))
+    return sync.visit_queue(found, pages.filter("page_id % 2 = 1").select("url", c("page_id").alias("pos")), 30).select("url")
+
+
+@query(r"""WITH l AS (SELECT doc_id, line, i FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents) WHERE trim(line) <> ''),
+n AS (SELECT doc_id, sum(CAST(ceil(length(line) / 500.0) AS BIGINT)) AS k FROM l GROUP BY doc_id)
+SELECT CAST(d.doc_id AS VARCHAR) AS post_id, CAST(coalesce(k, 0) + 3 AS BIGINT) AS n, CAST(CASE WHEN d.doc_id % 3 = 1 THEN coalesce(k, 0) + 3 ELSE 0 END AS BIGINT) AS n_old FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id""")
+def replaced_children(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The child table with the blocks of changed posts replaced: one in three is untouched, one is replaced, one is new."""
+    fresh = target.child_blocks(lines_as_records(spark, sf_dir), most=500)
+    third = c("post_id").cast("long") % 3
+    held = fresh.filter(third != 2).withColumn("kind", F.lit("old"))
+    got = target.replace_children(held, fresh, fresh.filter(third != 1).select("post_id"))
+    return got.groupBy("post_id").agg(F.count(F.lit(1)).alias("n"), F.count_if(c("kind") == "old").alias("n_old"))
+
+
+@query(r"""WITH l AS (SELECT doc_id, line, i FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents) WHERE trim(line) <> ''),
+s AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS t, sum(length(line)) AS n FROM l GROUP BY doc_id)
+SELECT CAST(d.doc_id AS VARCHAR) AS post_id, sha256(coalesce(t, '')) AS text_sha256, CAST(coalesce(n, 0) AS INTEGER) AS n_chars FROM documents d LEFT JOIN s ON s.doc_id = d.doc_id""")
+def body_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = lines_as_records(spark, sf_dir)
+    return got.select("post_id", F.sha2(F.encode(text.all_text(c("body_blocks")), "UTF-8"), 256).alias("text_sha256"), text.text_length(c("body_blocks")).alias("n_chars"))
+
+
+@query(r"""WITH l AS (SELECT doc_id, line, i FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents) WHERE trim(line) <> ''),
+b AS (SELECT doc_id, string_agg('["paragraph",' || CAST(to_json(line) AS VARCHAR) || ']', ',' ORDER BY i) AS j FROM l GROUP BY doc_id)
+SELECT CAST(d.doc_id AS VARCHAR) AS post_id, sha256('{"body_blocks":[' || coalesce(j, '') || '],"post_id":"' || d.doc_id || '","quality_reasons":{"missing_body":false,"suspicious_title":true}}') AS content_hash
+FROM documents d LEFT JOIN b ON b.doc_id = d.doc_id""")
+def record_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hashes of whole bodies: names sorted, blocks as pairs, nested names sorted."""
+    got = lines_as_records(spark, sf_dir).withColumn("quality_reasons", F.struct(F.lit(True).alias("suspicious_title"), F.lit(False).alias("missing_body")))
+    return got.select("post_id", content_hash(["quality_reasons", "post_id", "body_blocks"], ("suspicious_title", "missing_body")).alias("content_hash"))
+
 
 def queries() -> dict:
     return dict(QUERIES)

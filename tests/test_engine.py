@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F, types as T
 
@@ -8,10 +9,11 @@ from pagewright import job
 from pagewright.functions.settings import Settings, from_env
 from pagewright.functions.text import heading_text, heading_text_py
 from pagewright.operators import sync, target
-from pagewright.plans.repeats import longest_repeat, unresolved, without_repeated_renderings
+from pagewright.plans.repeats import longest_repeat, longest_run, unresolved, without_repeated_renderings
 from pagewright.plans.records import HASHED, records
 from pagewright.sources.html import parse_page
 from pagewright.sources.http import PoliteClient
+from pagewright.sources.remote import RemoteClient, as_documents
 from pagewright.sources.listing import discover, listing_links, require_access
 
 
@@ -29,6 +31,11 @@ def test_longest_repeat_equals_brute_force():
     for _ in range(400):
         blocks = [("paragraph", rng.choice("abc")) for _ in range(rng.randint(0, 14))]
         assert longest_repeat(blocks, 2, 2) == brute_repeat(blocks, 2, 2)
+    for _ in range(400):
+        blocks = [("paragraph", rng.choice(["a", "bb", ""])) for _ in range(rng.randint(0, 14))]
+        least, chars = rng.choice([(1, 3), (2, 2), (1, 0), (3, 4)])
+        texts = np.array([["a", "bb", ""].index(t) for _, t in blocks], np.int64)
+        assert longest_run(texts, np.array([len(t) for _, t in blocks], np.int64), least, chars) == brute_repeat(blocks, least, chars)
 
 
 def test_two_renderings_become_one():
@@ -36,6 +43,8 @@ def test_two_renderings_become_one():
     assert without_repeated_renderings(one + one) == one
     assert without_repeated_renderings(one[:7] + one) == one  # the complete copy stays
     assert without_repeated_renderings([("paragraph", "a"), ("paragraph", "a"), ("heading_3", "x"), ("heading_3", "x")]) == [("paragraph", "a"), ("heading_3", "x")]
+    plain = one[1:]
+    assert without_repeated_renderings(plain + plain) == plain  # no heading in either
     part = [("paragraph", "나" * 40 + str(i)) for i in range(4)]
     assert unresolved(part + [("paragraph", "-")] + part) and not unresolved(part)
 
@@ -237,3 +246,41 @@ def test_pages_are_parsed_once(spark):
     got = listing_links(listing, "s.example")
     assert got._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
     assert sorted((r.page_no, r.url[-1]) for r in got.collect()) == [(1, "1"), (2, "2")]
+
+
+def test_remote_documents(spark):
+    """Documents of a run in a store that forgets nothing: created once, then updated with their blocks replaced."""
+    import json
+
+    found = records(spark.createDataFrame([("https://s.example/archives/1", PAGE.format("".join(f"<br>{i} 줄" for i in range(250))))], "url string, html string"), "2026-08-12")
+    docs = as_documents(target.properties(found, "2026-08-12"), target.child_blocks(found)).collect()
+    batches = [json.loads(b) for b in docs[0].batches]
+    assert [len(b) for b in batches] == [100, 100, 54] and batches[0][0]["texts"] == ["원문"] and json.loads(docs[0].properties)["post_id"] == "1"
+    store, blocks, waits, asked = {}, {}, [], []
+
+    def send(method, url, headers, body, timeout):
+        asked.append((method, url))
+        assert headers["Authorization"] == "Bearer t"
+        data, path = json.loads(body) if body else {}, url.removeprefix("https://store.example").partition("?")[0].split("/")[1:]
+        if path == ["documents", "query"]:
+            return 200, {}, json.dumps({"results": [{"id": i} for i, d in store.items() if d["post_id"] == data["post_id"]]})
+        if path == ["documents"]:
+            store["d1"] = data
+            return 200, {}, '{"id": "d1"}'
+        if path[-1] == "children" and method == "PATCH":
+            for b in data["children"]:
+                blocks[f"b{len(asked)}-{len(blocks)}"] = b
+        if path[-1] == "children" and method == "GET":
+            every, at = list(blocks), int(url.partition("start_cursor=")[2] or 0)
+            return 200, {}, json.dumps({"results": [{"id": i} for i in every[at : at + 100]], "has_more": at + 100 < len(every), "next_cursor": str(at + 100)})
+        if method == "DELETE":
+            del blocks[path[-1]]
+        return 200, {}, ""
+
+    client = RemoteClient("https://store.example/", "t", send_once=send, sleep=waits.append, clock=lambda: 0.0)
+    put = lambda: client.put(docs[0].post_id, json.loads(docs[0].properties), batches)
+    assert put() == "created" and len(blocks) == 254 and len(asked) == 5
+    assert put() == "updated" and list(blocks.values()) == [b for part in batches for b in part] and len(store) == 1
+    assert waits == [0.38] * (len(asked) - 1)  # every request but the first waits
+    with pytest.raises(ValueError, match="token"):
+        RemoteClient("https://store.example/", "")
