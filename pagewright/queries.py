@@ -125,7 +125,7 @@ def full_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("case_id", *[r[n].alias(k) for k, n in (("ids", "post_id"), ("titles", "title"), ("kinds", "content_type"), ("collection", "collection_status"), ("scopes", "scope"))])
 
 
-_UNESCAPE = "replace(replace(replace(replace(replace({}, '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
+_UNESCAPE = "regexp_replace(regexp_replace(replace(replace(replace(replace({}, '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&quot;?', chr(34), 'g'), '&amp;?', '&', 'g')"
 
 
 @query(f"SELECT page_id, url, trim({_UNESCAPE.format(_UNESCAPE.format(chr(114) + 'egexp_extract(html, ' + chr(39) + '<h1>(.*?)</h1>' + chr(39) + ', 1)'))}) AS title FROM pages")
@@ -133,11 +133,23 @@ def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_rows(read(spark, sf_dir, "pages"), keep=("page_id",)).select("page_id", "url", "title")
 
 
-@query()
+_PLAIN = _UNESCAPE.format(_UNESCAPE.format("regexp_replace(replace(raw, '<br>', chr(10)), '</?[a-z][^>]*>', '', 'g')"))
+
+
+# The pages' paragraphs are never closed by nesting, so their texts stand between the opening tags; a line equal to the one before it is one.
+@query(rf"""WITH a AS (SELECT page_id, url, trim({_UNESCAPE.format(_UNESCAPE.format("regexp_extract(html, '<h1>(.*?)</h1>', 1)"))}) AS title, regexp_extract(html, '(?s)<article><h1>.*?</h1>(.*?)(?:</article>|$)', 1) AS body FROM pages),
+p AS (SELECT page_id, unnest(string_split(body, '<p>')) AS raw, generate_subscripts(string_split(body, '<p>'), 1) AS i FROM a),
+t AS (SELECT page_id, i, {_PLAIN} AS t FROM p),
+l AS (SELECT page_id, i, unnest(string_split(t, chr(10))) AS raw, generate_subscripts(string_split(t, chr(10)), 1) AS j FROM t),
+c AS (SELECT page_id, i, j, trim(regexp_replace(raw, '[ \t]+', ' ', 'g')) AS line FROM l),
+n AS (SELECT *, lag(line) OVER (PARTITION BY page_id ORDER BY i, j) AS before FROM c WHERE line <> ''),
+s AS (SELECT page_id, count(*) AS n, string_agg(line, chr(10) ORDER BY i, j) AS t FROM n WHERE before IS DISTINCT FROM line GROUP BY page_id)
+SELECT a.page_id, url, title, CAST(coalesce(n, 0) AS INTEGER) AS n_blocks, CAST(coalesce(length(t), 0) AS INTEGER) AS n_chars, sha256(coalesce(t, '')) AS text_sha256, false AS had_images FROM a LEFT JOIN s ON s.page_id = a.page_id""")
 def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Title, block count and text length of each page."""
-    rows = page_rows(read(spark, sf_dir, "pages"))
-    return rows.select("url", "title", F.size("blocks").alias("n_blocks"), F.length(text.all_text(c("blocks"))).alias("n_chars"), "had_images")
+    """Title, block count, length and hash of the text of each page."""
+    rows = page_rows(read(spark, sf_dir, "pages"), keep=("page_id",))
+    body = text.all_text(c("blocks"))
+    return rows.select("page_id", "url", "title", F.size("blocks").alias("n_blocks"), F.length(body).alias("n_chars"), F.sha2(F.encode(body, "UTF-8"), 256).alias("text_sha256"), "had_images")
 
 
 @query("SELECT href, min(page_id) AS page_id FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a href=\"(/[^\"]*)\"', 1)) AS href FROM pages) GROUP BY href")
