@@ -30,6 +30,11 @@ def clean_text(text: Column) -> Column:
     return F.regexp_replace(t, r"(?U)\A\s+|\s+\z", "")
 
 
+def trimmed(text: Column) -> Column:
+    """text without space characters of any kind (Zs) at its ends; tabs and line ends stay."""
+    return F.regexp_replace(text, r"\A\p{Zs}+|(?<!\p{Zs})\p{Zs}+\z", "")
+
+
 def clean_text_py(text: str | None) -> str:
     t = html.unescape(text or "").translate({0x200B: None, 0xFEFF: None})
     for pattern, by in ((r"[\t\r\f\v]+", " "), (" {2,}", " "), (r"\n +", "\n"), (r" +\n", "\n"), (r"\n{3,}", "\n\n")):
