@@ -13,7 +13,7 @@ from pagewright.functions.tables import spread
 from pagewright.functions.text import activity_period, all_text, location, split_title
 from pagewright.functions.vocabulary import GENERIC_PREFIXES
 from pagewright.operators import classify, dates, quality, sections
-from pagewright.sources.html import NO_TITLE, parsed
+from pagewright.sources.html import NO_TITLE, PAGE, parsed
 
 #: The fields that a record's hash covers, in its order; where it was found is not among them.
 HASHED = (
@@ -57,16 +57,19 @@ def roles(title: Column, marks: Column, blocks: Column) -> Column:
     return F.when(F.size(numbered) >= 2, by_number).when(F.size(named) >= 2, by_name)
 
 
-def page_rows(pages: DataFrame, site: str = "", keep: tuple[str, ...] = ()) -> DataFrame:
-    """The columns keep, url and the page struct's fields of each row of pages; own categories come before those of the listing."""
+def page_rows(pages: DataFrame, site: str = "", keep: tuple[str, ...] = (), fields: tuple[str, ...] = tuple(PAGE.names)) -> DataFrame:
+    """The columns keep, url and the page struct's fields of each row of pages, only what they need is worked out.
+
+    categories become site_categories: a page's own come before those of the listing.
+    """
     ship(pages.sparkSession)
     if "fallback_categories" not in pages.columns:
         pages = pages.withColumn("fallback_categories", F.array().cast("array<string>"))
     held = [F.col(n) for n in keep]
     pages = spread(pages.select(*held, "url", "html", "fallback_categories"))
-    got = pages.select(*held, "url", F.coalesce("fallback_categories", F.array().cast("array<string>")).alias("fallback"), parsed(F.col("html"), F.col("url"), site).alias("page"))
-    own = F.when(F.size("page.categories") > 0, F.col("page.categories")).otherwise(F.col("fallback")).alias("site_categories")
-    return got.select(*held, "url", own, "page.title", "page.published_raw", "page.apply_url", "page.had_images", "page.blocks", "page.links", "page.next_href")
+    got = pages.select(*held, "url", F.coalesce("fallback_categories", F.array().cast("array<string>")).alias("fallback"), parsed(F.col("html"), F.col("url"), site, fields).alias("page"))
+    own = lambda: F.when(F.size("page.categories") > 0, F.col("page.categories")).otherwise(F.col("fallback")).alias("site_categories")
+    return got.select(*held, "url", *[own() if n == "categories" else F.col(f"page.{n}") for n in fields])
 
 
 def records(pages: DataFrame, as_of, site: str = "", id_pattern: str = POST_ID) -> DataFrame:
@@ -74,7 +77,7 @@ def records(pages: DataFrame, as_of, site: str = "", id_pattern: str = POST_ID)
 
     Pages whose url holds no id fail the job, as they are no posts.
     """
-    p = page_rows(pages, site).drop("links", "next_href")
+    p = page_rows(pages, site, fields=("categories", "title", "published_raw", "apply_url", "had_images", "blocks"))
     today = F.lit(as_of).cast("date")
     post_id = F.regexp_extract("url", id_pattern, 1)
     p = p.withColumn("base_id", F.when(post_id == "", F.raise_error(F.concat(F.lit("no post id in "), F.col("url")))).otherwise(post_id))

@@ -14,7 +14,7 @@ FETCH_STATUS = ("ok", "not_found", "blocked", "rate_limited", "error")
 def listing_links(listing: DataFrame, site_host: str) -> DataFrame:
     """page_no, pos, url, categories of every post link on listing pages (page_no, page_url, html, status optional)."""
     pages = listing.select("page_no", F.col("page_url").alias("url"), "html")
-    got = page_rows(pages, keep=("page_no",)).select("page_no", "url", F.posexplode("links").alias("pos", "link"))
+    got = page_rows(pages, keep=("page_no",), fields=("links",)).select("page_no", "url", F.posexplode("links").alias("pos", "link"))
     post = normalize_post_url(F.col("link.href"), F.col("url"), site_host)
     return got.select("page_no", "pos", post.alias("url"), "link.categories").filter("url is not null")
 

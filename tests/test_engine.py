@@ -248,6 +248,31 @@ def test_pages_are_parsed_once(spark):
     assert sorted((r.page_no, r.url[-1]) for r in got.collect()) == [(1, "1"), (2, "2")]
 
 
+def test_pages_leave_in_parts():
+    """A batch of any length is given out in parts; only the fields asked for are worked out, and no tree waits for the collector."""
+    import gc
+
+    import pandas as pd
+
+    from pagewright.sources import html
+
+    page = "<h1>T</h1><article><h1>T</h1><p>a<p>b<a href='/archives/1'>x</a></article>"
+    n = 3 * html.TOGETHER + 1
+    got = list(html.in_parts(pd.Series([page] * n), pd.Series(["https://s.example/"] * n), "", ("links",)))
+    assert [len(p) for p in got] == [html.TOGETHER] * 3 + [1]
+    assert all(list(p.columns) == ["links"] for p in got) and {r[0]["href"] for p in got for r in p["links"]} == {"https://s.example/archives/1"}
+    every = parse_page(page, "https://s.example/")
+    for fields in (("blocks",), ("had_images",), ("title", "categories"), ("apply_url", "next_href", "published_raw")):
+        assert parse_page(page, "https://s.example/", fields=fields) == {k: every[k] for k in fields}
+    gc.collect()
+    gc.disable()
+    try:
+        parse_page(page, "https://s.example/")
+        assert not any(isinstance(x, html.Node) for x in gc.get_objects())
+    finally:
+        gc.enable()
+
+
 def test_remote_documents(spark):
     """Documents of a run in a store that forgets nothing: created once, then updated with their blocks replaced."""
     import json
