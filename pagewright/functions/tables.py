@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from math import ceil
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -27,6 +28,24 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if not df.isStreaming and df.rdd.getNumPartitions() < cores else df
 
 
+def stored(df: DataFrame) -> bool:
+    """Whether all rows come from files or other stored relations, which may be read twice; a fetch or an RDD may not."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return all(leaves.apply(i).getClass().getSimpleName() == "LogicalRelation" for i in range(leaves.size()))
+
+
+def dealt(df: DataFrame, size: Column, each: int) -> DataFrame:
+    """df dealt into parts of some `each` of size, as many as there are cores at least: a task's work stays the same as the table grows.
+
+    Files cannot say how much is in them (row groups of any length, texts that compress well), so stored rows are
+    summed up in a pass of their own. Other rows are spread over the cores.
+    """
+    if df.isStreaming or not stored(df):
+        return spread(df)
+    total = df.agg(F.sum(size)).first()[0] or 0
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, ceil(total / each)))
+
+
 def materialise(df: DataFrame, name: str = "t") -> DataFrame:
     """df written as Parquet to the shared folder and read again: cuts lineage, survives lost executors."""
     spark = df.sparkSession

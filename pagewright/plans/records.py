@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pagewright.functions.ship import ship
-from pagewright.functions.tables import spread
+from pagewright.functions.tables import dealt
 from pagewright.functions.text import activity_period, all_text, location, split_title
 from pagewright.functions.vocabulary import GENERIC_PREFIXES
 from pagewright.operators import classify, dates, quality, sections
@@ -23,6 +23,8 @@ HASHED = (
 ).split()
 RECORD = ["post_id", "source_url", *HASHED[1:], "content_hash"]
 POST_ID = r"/archives/(\d+)"
+#: Bytes of HTML that one task parses, and what a page counts for beside its own.
+TASK_BYTES, PAGE_BYTES = 4 << 20, 256
 
 
 def content_hash(names: list[str] | None = None, reasons: tuple[str, ...] = quality.REASONS) -> Column:
@@ -66,7 +68,7 @@ def page_rows(pages: DataFrame, site: str = "", keep: tuple[str, ...] = (), fiel
     if "fallback_categories" not in pages.columns:
         pages = pages.withColumn("fallback_categories", F.array().cast("array<string>"))
     held = [F.col(n) for n in keep]
-    pages = spread(pages.select(*held, "url", "html", "fallback_categories"))
+    pages = dealt(pages.select(*held, "url", "html", "fallback_categories"), F.coalesce(F.octet_length("html"), F.lit(0)) + PAGE_BYTES, TASK_BYTES)
     got = pages.select(*held, "url", F.coalesce("fallback_categories", F.array().cast("array<string>")).alias("fallback"), parsed(F.col("html"), F.col("url"), site, fields).alias("page"))
     own = lambda: F.when(F.size("page.categories") > 0, F.col("page.categories")).otherwise(F.col("fallback")).alias("site_categories")
     return got.select(*held, "url", *[own() if n == "categories" else F.col(f"page.{n}") for n in fields])

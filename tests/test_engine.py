@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F, types as T
 
+import pagewright.queries as core
 from pagewright import job
 from pagewright.functions.settings import Settings, from_env
 from pagewright.functions.text import heading_text, heading_text_py
@@ -273,6 +274,26 @@ def test_pages_leave_in_parts():
         gc.enable()
 
 
+def test_page_tasks_follow_the_bytes(spark, tmp_path, monkeypatch):
+    """Stored pages in one row group make as many tasks as their bytes need; rows that are not stored are read once."""
+    from pagewright.plans import records as r
+
+    rows = [(i, f"https://s.example/archives/{i}", f"<h1>{i}</h1>" + "<p>x" * 1000) for i in range(300)]
+    table = spark.createDataFrame(rows, "page_id int, url string, html string")
+    table.coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    monkeypatch.setattr(r, "TASK_BYTES", 50_000)
+    for sf in (core.read(spark, str(tmp_path), "pages"), core.read(spark, str(tmp_path), "pages").unionByName(core.read(spark, str(tmp_path), "pages"))):
+        n = sf.count()
+        got = r.page_rows(sf, keep=("page_id",), fields=("title",))
+        held = [x["count"] for x in got.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(held) == n and len(held) >= n * 4000 // 50_000 and max(held) <= 2 * n / len(held) + 1
+        assert sorted(int(x.title) for x in got.collect()) == sorted(list(range(300)) * (n // 300))
+    read = spark.sparkContext.accumulator(0)
+    seen = spark.sparkContext.parallelize(rows[:40], 2).map(lambda x: (read.add(1), x)[1])
+    got = r.page_rows(spark.createDataFrame(seen, "page_id int, url string, html string"), fields=("title",))
+    assert read.value == 0 and len(got.collect()) == 40 and read.value == 40
+
+
 def test_remote_documents(spark):
     """Documents of a run in a store that forgets nothing: created once, then updated with their blocks replaced."""
     import json
