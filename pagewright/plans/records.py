@@ -1,4 +1,4 @@
-"""From pages to records: one row in, one row a role out, without a shuffle.
+"""From pages to records: one row in, one row a role out, without a shuffle once the pages are dealt over the tasks.
 
 The page function runs once; all that follows are expressions over its struct. A page with two or
 more role markers becomes a row for each role it keeps.
