@@ -26,6 +26,16 @@ def loose(value: str) -> str:
     return "".join(r"\s*" if c == " " else c if c.isalnum() else "\\" + c for c in value)
 
 
+def ahead(values: list[str], others: str = "") -> str:
+    """A look-ahead for the first two characters of the values in loose(), or one of others: most places of a text fail it at once."""
+    seconds: dict[str, set[str]] = {c: {""} for c in others}
+    for v in values:
+        seconds.setdefault(v[0], set()).add(v[1:2].strip())
+    either = lambda cs: "[" + "".join(map(re.escape, sorted(cs))) + "]"
+    pairs = "|".join(re.escape(a) + ("" if "" in bs else either(bs)) for a, bs in sorted(seconds.items()))
+    return rf"(?={either(seconds)})(?={pairs})"
+
+
 #: kind -> alternatives, as they are and with decoration trimmed
 PATTERNS = {k: [loose(v) for v in vs] for k, vs in SECTION_HEADINGS.items()}
 EXACT = {k: "|".join(loose(heading_text_py(v)) for v in vs) for k, vs in SECTION_HEADINGS.items()} | {"boundary": "|".join(map(loose, SECTION_BOUNDARY_HEADINGS))}
@@ -33,7 +43,7 @@ TITLES = "|".join(sorted((p for ps in PATTERNS.values() for p in ps), key=len, r
 # The forms of section titles and bracketed parts.
 #: A whole line that is a section title, with or without brackets and colon.
 SECTION_TITLE = rf"\s*[\[(]?\s*(?:{TITLES})\s*(?:\([^)]*\))?\s*[:：]?\s*[\])]?\s*"
-INLINE_TITLE = rf"\[\s*(?:{TITLES})\s*\]|(?:{TITLES})"
+INLINE_TITLE = rf"{ahead([v for vs in SECTION_HEADINGS.values() for v in vs], '[')}(?:\[\s*(?:{TITLES})\s*\]|(?:{TITLES}))"
 
 # Fixed values: (longest, pattern, kind) of headings that are sentences.
 SENTENCES = [

@@ -38,7 +38,9 @@ def trimmed(text: Column) -> Column:
 def clean_text_py(text: str | None) -> str:
     t = html.unescape(text or "").replace("\u200b", "").replace("\ufeff", "")
     # a pattern is only looked for where the text holds its shortest match
-    for held, pattern, by in (("", r"[\t\r\f\v]+", " "), ("  ", " {2,}", " "), ("\n ", r"\n +", "\n"), (" \n", r" +\n", "\n"), ("\n\n\n", r"\n{3,}", "\n\n")):
+    if "\t" in t or "\r" in t or "\f" in t or "\v" in t:
+        t = re.sub(r"[\t\r\f\v]+", " ", t)
+    for held, pattern, by in (("  ", " {2,}", " "), ("\n ", r"\n +", "\n"), (" \n", r" +\n", "\n"), ("\n\n\n", r"\n{3,}", "\n\n")):
         if held in t:
             t = re.sub(pattern, by, t)
     return t.strip()

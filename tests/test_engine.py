@@ -249,6 +249,23 @@ def test_pages_are_parsed_once(spark):
     assert sorted((r.page_no, r.url[-1]) for r in got.collect()) == [(1, "1"), (2, "2")]
 
 
+def test_inline_titles_are_found_as_without_the_look_ahead():
+    import re
+
+    from pagewright.functions import rules
+    from pagewright.functions.vocabulary import SECTION_HEADINGS
+
+    assert rules.INLINE_TITLE.startswith("(?=")
+    plain = re.compile(rf"\[\s*(?:{rules.TITLES})\s*\]|(?:{rules.TITLES})", re.I)
+    rng, titles = random.Random(7), [v for vs in SECTION_HEADINGS.values() for v in vs]
+    for t in titles:
+        assert rules.compiled(rules.INLINE_TITLE).search(t) and rules.compiled(rules.INLINE_TITLE).search(f"x[ {t.upper().replace(' ', '')} ]")
+    for _ in range(500):
+        text = "".join(rng.choice([*titles, "[", "]", "담당", "\u017f", "Q", "꼭"]) + rng.choice(["", " ", "\n", "x"]) for _ in range(12))
+        for t in (text, text.swapcase(), text.replace(" ", "").replace("s", "\u017f")):
+            assert [m.span() for m in rules.compiled(rules.INLINE_TITLE).finditer(t)] == [m.span() for m in plain.finditer(t)]
+
+
 def test_pages_leave_in_parts():
     """A batch of any length is given out in parts; only the fields asked for are worked out, and no tree waits for the collector."""
     import gc
